@@ -52,9 +52,8 @@ def user_top_n(scores: DataFrame, n: int = 20, key: str = "uid") -> DataFrame:
 
 def similar_items_all(sims: DataFrame, n: int | None = None) -> DataFrame:
     """Per item all similar items over the cut, best first; optional cap."""
-    return top_n_per_group(sims.select(F.col("m1").alias("mid_key"), F.col("m2").alias("mid"),
-                                       F.col("sim").alias("score")),
-                           ["mid_key"], by_score(), n)
+    return top_n_per_group(sims.select("m1", "m2", "sim"), ["m1"],
+                           [F.col("sim").desc(), F.col("m2").asc()], n).select("m1", "rank", "m2", "sim")
 
 
 def hot_movies(monthly: DataFrame, n: int = 10) -> DataFrame:

@@ -186,3 +186,40 @@ SELECT CAST(p_partkey AS INTEGER) AS mid,
        concat_ws('|', p_brand, p_type) AS appended,
        len(string_split(concat_ws(',', p_type, p_brand), ',')) AS n_prefs
 FROM part""")
+
+# ---- 2.9 content model (exact terms) ---------------------------------------
+register("term_frequency", with_(CONTENT_SIMS) + "SELECT mid, term, tf FROM tf")
+register("document_frequency", with_(CONTENT_SIMS) + """
+SELECT term, df, round(ln((n + 1.0) / (df + 1.0)), 6) AS idf FROM dfs CROSS JOIN ndocs""")
+register("tfidf", with_(CONTENT_SIMS) + "SELECT mid, term, round(w, 6) AS w FROM w")
+register("vector_norms", with_(CONTENT_SIMS) + "SELECT mid, round(norm, 6) AS norm FROM norms")
+register("item_similarity_content", with_(CONTENT_SIMS) + "SELECT m1, m2, sim FROM sims WHERE sim > 0.6")
+register("similar_items_all", with_(CONTENT_SIMS) + """
+SELECT m1, CAST(row_number() OVER (PARTITION BY m1 ORDER BY sim DESC, m2) AS INTEGER) AS rank, m2, sim
+FROM sims WHERE sim > 0.6""")
+
+# ---- online scoring (batch twin of the streaming job) ---------------------
+ONLINE = """
+anchors AS (SELECT uid, mid AS anchor FROM recent WHERE rank = 1),
+cands AS (
+  SELECT * FROM (
+    SELECT a.uid, a.anchor, s.m2 AS mid, s.sim,
+           CAST(row_number() OVER (PARTITION BY a.uid, a.anchor ORDER BY s.sim DESC, s.m2) AS INTEGER) AS rank
+    FROM anchors a JOIN sims s ON s.m1 = a.anchor AND s.sim > 0.6
+    WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.uid = a.uid AND r.mid = s.m2)) t
+  WHERE rank <= 20),
+scored AS (
+  SELECT c.uid, c.mid,
+         round(avg(s.sim * r.score)
+               + log10(greatest(count(*) FILTER (WHERE r.score > 3), 1))
+               - log10(greatest(count(*) FILTER (WHERE r.score <= 3), 1)), 6) AS score
+  FROM cands c JOIN recent r ON r.uid = c.uid
+  JOIN sims s ON s.m1 = c.mid AND s.m2 = r.mid AND s.sim > 0.7
+  GROUP BY c.uid, c.mid)"""
+register("unseen_similar", with_(RATINGS, RECENT, CONTENT_SIMS, ONLINE) +
+         "SELECT uid, anchor, rank, mid, sim FROM cands")
+register("stream_priority", with_(RATINGS, RECENT, CONTENT_SIMS, ONLINE) +
+         "SELECT uid, mid, score FROM scored")
+register("stream_recs_batch", with_(RATINGS, RECENT, CONTENT_SIMS, ONLINE) + """
+SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank,
+       mid, score FROM scored""")

@@ -236,3 +236,73 @@ def text_functions(spark, d):
         F.size(fx.tokenize(fx.bars_to_blanks("genres"))).alias("n_tokens"),
         fx.append_separated("p_brand", "p_type").alias("appended"),
         F.size(fx.comma_list(F.concat_ws(",", "p_type", "p_brand"))).alias("n_prefs"))
+
+
+# ---- 2.9 content model (exact terms) ---------------------------------------
+from flickmill.operators import similarity as sim  # noqa: E402
+
+
+@query
+def term_frequency(spark, d):
+    return sim.term_frequency(ad.content_items(spark, d))
+
+
+@query
+def document_frequency(spark, d):
+    items = ad.content_items(spark, d)
+    n = items.select(F.count(F.lit(1))).scalar()
+    return sim.idf_fit(sim.term_frequency(items), n).select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+@query
+def tfidf(spark, d):
+    return sim.tfidf(ad.content_items(spark, d)).select("mid", "term", F.round("w", 6).alias("w"))
+
+
+@query
+def vector_norms(spark, d):
+    return stats.vector_norms(sim.tfidf(ad.content_items(spark, d)).where(F.col("w") != 0)) \
+        .select("mid", F.round("norm", 6).alias("norm"))
+
+
+def _content_sims(spark, d, theta=0.6):
+    return sim.content_similarity(ad.content_items(spark, d), theta)
+
+
+@query
+def item_similarity_content(spark, d):
+    return _content_sims(spark, d).edges()
+
+
+@query
+def similar_items_all(spark, d):
+    return rank.similar_items_all(_content_sims(spark, d).edges())
+
+
+# ---- online scoring (batch twin of the streaming job) ---------------------
+def _anchors_and_recent(spark, d):
+    ratings = ad.ratings(spark, d)
+    recent = online.recent_k_ratings(ratings, 20)
+    anchors = recent.where(F.col("rank") == 1).select("uid", F.col("mid").alias("anchor"))
+    return ratings, recent, anchors
+
+
+@query
+def unseen_similar(spark, d):
+    ratings, _, anchors = _anchors_and_recent(spark, d)
+    return online.unseen_similar(anchors, _content_sims(spark, d), ratings, 20) \
+        .select("uid", "anchor", "rank", "mid", "sim")
+
+
+@query
+def stream_priority(spark, d):
+    ratings, recent, anchors = _anchors_and_recent(spark, d)
+    sims = _content_sims(spark, d)
+    cands = online.unseen_similar(anchors, sims, ratings, 20)
+    return online.stream_priority(cands, recent, sims, 0.7, 3.0)
+
+
+@query
+def stream_recs_batch(spark, d):
+    """Flagship: the streaming job's re-rank for every user at once."""
+    return online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
