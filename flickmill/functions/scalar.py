@@ -24,17 +24,13 @@ def _c(x) -> Column:
 
 
 def java_split(col, pattern: str) -> Column:
-    """``String.split(regex)`` semantics: trailing empty strings are dropped,
-    and a string without any delimiter comes back as itself in a 1-element array."""
-    arr = F.split(_c(col), pattern)
-    last = F.aggregate(
-        arr,
-        F.struct(F.lit(0).alias("i"), F.lit(0).alias("last")),
-        lambda acc, x: F.struct(
-            (acc["i"] + 1).alias("i"),
-            F.when(x != "", acc["i"] + 1).otherwise(acc["last"]).alias("last")),
-    )["last"]
-    return F.when(F.size(arr) <= 1, arr).otherwise(F.slice(arr, 1, last))
+    """``String.split(regex)`` semantics: trailing empty strings are dropped; the
+    empty string gives [""]; a string made only of delimiters gives []."""
+    c = _c(col)
+    stripped = F.regexp_replace(c, "(?:" + pattern + ")+$", "")
+    return (F.when(c == "", F.array(F.lit("")))
+            .when(stripped == "", F.array().cast("array<string>"))
+            .otherwise(F.split(stripped, pattern)))
 
 
 def split_fields(col, pattern: str) -> Column:

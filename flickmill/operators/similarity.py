@@ -31,8 +31,8 @@ from flickmill.functions.scalar import SIM_DIGITS, bars_to_blanks, round_sim, to
 class FactoredSims:
     """Similarity between items, grouped by identical vectors."""
 
-    members: DataFrame  # (mid int, sig string)
-    pairs: DataFrame    # (s1 string, s2 string, sim double), both directions, incl. (s, s)
+    members: DataFrame  # (mid int, sig int)
+    pairs: DataFrame    # (s1 int, s2 int, sim double), both directions, incl. (s, s)
 
     def edges(self) -> DataFrame:
         """Movie-level ordered pairs (m1, m2, sim), self pairs removed."""
@@ -47,9 +47,8 @@ class FactoredSims:
         """A plain (m1, m2, sim) table seen as one signature per movie."""
         ids = (edges.select(F.col("m1").alias("mid")).union(edges.select(F.col("m2").alias("mid")))
                .distinct())
-        members = ids.select("mid", F.col("mid").cast("string").alias("sig"))
-        pairs = edges.select(F.col("m1").cast("string").alias("s1"),
-                             F.col("m2").cast("string").alias("s2"), "sim")
+        members = ids.select("mid", F.col("mid").alias("sig"))
+        pairs = edges.select(F.col("m1").alias("s1"), F.col("m2").alias("s2"), "sim")
         return FactoredSims(members, pairs)
 
 
@@ -61,23 +60,20 @@ def content_tokens(items: DataFrame, text_col: str = "genres", bars: bool = True
     return items.select("mid", tokenize(text).alias("tokens"))
 
 
-def _row_tf(tokens) -> F.Column:
-    """Per-row term counts as a sorted array of (term, tf) (no shuffle)."""
-    terms = F.array_sort(F.array_distinct(tokens))
-    return F.transform(terms, lambda t: F.struct(
-        t.alias("term"), F.size(F.filter(tokens, lambda x: x == t)).cast("double").alias("tf")))
+def _hash_terms(tok: DataFrame, hashed: int | None) -> DataFrame:
+    if not hashed:
+        return tok
+    return tok.select("mid", F.transform("tokens", lambda t: F.pmod(F.hash(t), F.lit(hashed))
+                                         .cast("string")).alias("tokens"))
 
 
 def term_frequency(items: DataFrame, text_col: str = "genres", hashed: int | None = None,
                    bars: bool = True) -> DataFrame:
     """M7: (mid, term, tf). ``hashed=50`` maps terms to 50 Murmur3 buckets like
     HashingTF (seed 42, non-negative modulo); default is the exact term."""
-    tok = content_tokens(items, text_col, bars)
-    if hashed:
-        tok = tok.select("mid", F.transform("tokens", lambda t: F.pmod(F.hash(t), F.lit(hashed))
-                                            .cast("string")).alias("tokens"))
-    return (tok.select("mid", F.explode(_row_tf(F.col("tokens"))).alias("t"))
-            .select("mid", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")))
+    tok = _hash_terms(content_tokens(items, text_col, bars), hashed)
+    return (tok.select("mid", F.explode("tokens").alias("term"))
+            .groupBy("mid", "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
 
 def idf_fit(tf: DataFrame, n_docs) -> DataFrame:
@@ -97,46 +93,62 @@ def tfidf(items: DataFrame, text_col: str = "genres", hashed: int | None = None)
 
 def sparse_signatures(items: DataFrame, text_col: str = "genres", bars: bool = True,
                       hashed: int | None = None):
-    """Group items by their (term, tf) multiset.
+    """Group items by their token multiset (= their sorted token list).
+
+    The signature id is the smallest ``mid`` carrying it: an int, deterministic
+    under recomputation. The grouping is an aggregate (partial on the map side)
+    joined back to the items, so a signature shared by a third of all items is
+    never gathered in one task. Term counts are taken once per signature.
 
     Returns (members (mid, sig), sig_tf (sig, term, tf, n_items), n_docs column)."""
-    tok = content_tokens(items, text_col, bars)
-    if hashed:
-        tok = tok.select("mid", F.transform("tokens", lambda t: F.pmod(F.hash(t), F.lit(hashed))
-                                            .cast("string")).alias("tokens"))
-    keyed = tok.select("mid", _row_tf(F.col("tokens")).alias("tf"))
-    keyed = keyed.withColumn("sig", F.to_json("tf"))
-    members = keyed.select("mid", "sig")
-    sigs = keyed.groupBy("sig").agg(F.count(F.lit(1)).alias("n_items"), F.first("tf").alias("tf"))
-    sig_tf = (sigs.select("sig", "n_items", F.explode("tf").alias("t"))
-              .select("sig", "n_items", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")))
+    tok = _hash_terms(content_tokens(items, text_col, bars), hashed)
+    # tokens never contain white space, so joining the sorted list with one
+    # blank is a lossless key (given the token count)
+    keyed = tok.select("mid", F.array_join(F.array_sort("tokens"), " ").alias("key"),
+                       F.size("tokens").alias("n_tok"))
+    groups = keyed.groupBy("key", "n_tok").agg(F.min("mid").alias("sig"),
+                                               F.count(F.lit(1)).alias("n_items"))
+    members = keyed.join(groups, ["key", "n_tok"]).select("mid", "sig")
+    sig_tf = (groups.where(F.col("n_tok") > 0)
+              .select("sig", "n_items", F.explode(F.split("key", " ", -1)).alias("term"))
+              .groupBy("sig", "n_items", "term")
+              .agg(F.count(F.lit(1)).cast("double").alias("tf")))
     n_docs = items.select(F.count(F.lit(1))).scalar()
     return members, sig_tf, n_docs
 
 
 def sparse_weights(sig_tf: DataFrame, n_docs) -> DataFrame:
-    """(sig, term, w, df, norm) with IDF over items (df weighted by item count)."""
+    """(sig, term, w, df) with IDF over items (df weighted by item count)."""
     df = (sig_tf.groupBy("term").agg(F.sum("n_items").alias("df"))
           .withColumn("idf", F.log((F.lit(n_docs) + 1) / (F.col("df") + 1))))
-    w = (sig_tf.join(df, "term")
-         .select("sig", "term", "df", (F.col("tf") * F.col("idf")).alias("w"))
-         .where(F.col("w") != 0))
-    return w
+    return (sig_tf.join(df, "term")
+            .select("sig", "term", "df", (F.col("tf") * F.col("idf")).alias("w"))
+            .where(F.col("w") != 0))
 
 
 def sparse_all_pairs(weights: DataFrame, theta: float, key: str = "sig") -> DataFrame:
     """Exact cosine > theta (after rounding) between all vectors of ``weights``
-    (key, term, w, df). Returns (s1, s2, sim) both directions, including (s, s)."""
+    (key, term, w, df). Returns (s1, s2, sim) both directions, including (s, s).
+
+    Prefix bound of a vector x at term position i (terms rarest first): the
+    rest of x can add at most min(||x[i:]||, sum_f x_f * maxweight_f) to a dot
+    product with any unit vector (Cauchy-Schwarz, resp. the largest unit weight
+    term f has anywhere). Terms whose bound reaches the cut form the prefix."""
     # Rounding to SIM_DIGITS happens before the cut, so vectors whose raw cosine
     # is a hair below theta can still pass: prune with a slightly lower bound.
     bound = theta - 10.0 ** (-SIM_DIGITS)
     by_key = Window.partitionBy(key)
     rarest_last = (Window.partitionBy(key).orderBy(F.col("df").desc(), F.col("term").desc())
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    v = (weights
-         .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_key)))
-         .withColumn("suffix", F.sqrt(F.sum(F.col("w") * F.col("w")).over(rarest_last))))
-    v = v.withColumn("in_prefix", F.col("suffix") >= F.lit(bound) * F.col("norm")).persist()
+    v = (weights.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_key)))
+         .withColumn("u", F.col("w") / F.col("norm")))
+    maxw = v.groupBy("term").agg(F.max("u").alias("maxw"))
+    v = (v.join(maxw, "term")
+         .withColumn("suf_sq", F.sum(F.col("u") * F.col("u")).over(rarest_last))
+         .withColumn("suf_mw", F.sum(F.col("u") * F.col("maxw")).over(rarest_last))
+         .withColumn("in_prefix", F.least(F.sqrt("suf_sq"), F.col("suf_mw")) >= F.lit(bound))
+         .select(key, "term", "w", "norm", "in_prefix")
+         .persist())
     prefix = v.where("in_prefix").select(key, "term")
     a = prefix.select(F.col(key).alias("s1"), "term")
     b = prefix.select(F.col(key).alias("s2"), "term")
@@ -147,15 +159,19 @@ def sparse_all_pairs(weights: DataFrame, theta: float, key: str = "sig") -> Data
             .groupBy("s1", "s2")
             .agg(F.sum(F.col("w1") * F.col("w2")).alias("d"), F.first("n1").alias("n1"),
                  F.first("n2").alias("n2")))
-    half = (dots.select("s1", "s2", round_sim(F.try_divide(F.col("d"), F.col("n1") * F.col("n2")))
+    # both directions and the self pair of every signature in one pass
+    sims = (dots.select("s1", "s2", round_sim(F.try_divide(F.col("d"), F.col("n1") * F.col("n2")))
                         .alias("sim"))
-            .where(F.col("sim") > F.lit(theta)))
+            .where(F.col("sim") > F.lit(theta))
+            .select(F.explode(F.array(F.struct("s1", "s2", "sim"),
+                                      F.struct(F.col("s2").alias("s1"), F.col("s1").alias("s2"),
+                                               "sim"))).alias("p"))
+            .select("p.*"))
     self_pairs = (v.groupBy(key).agg(F.sum(F.col("w") * F.col("w")).alias("d"), F.first("norm").alias("n"))
                   .select(F.col(key).alias("s1"), F.col(key).alias("s2"),
                           round_sim(F.try_divide(F.col("d"), F.col("n") * F.col("n"))).alias("sim"))
                   .where(F.col("sim") > F.lit(theta)))
-    mirrored = half.select(F.col("s2").alias("s1"), F.col("s1").alias("s2"), "sim")
-    return half.unionByName(mirrored).unionByName(self_pairs)
+    return sims.unionByName(self_pairs)
 
 
 def content_similarity(items: DataFrame, theta: float = 0.6, text_col: str = "genres",

@@ -26,6 +26,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("FLICKMILL_DRIVER_MEMORY", "12g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -47,12 +47,12 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rating per (uid, mid): the line with the largest
     (o_orderdate, l_orderkey, l_linenumber, l_quantity).
 
-    ``max`` over a struct is lexicographic and aggregates partially on the map
-    side, so no (uid, mid) group is ever gathered as a list.
+    ``max_by`` with a struct key is lexicographic and aggregates partially on
+    the map side, so no (uid, mid) group is ever gathered as a list.
     """
     r = raw_ratings(spark, sf_dir)
-    best = F.max(F.struct("o_orderdate", "l_orderkey", "l_linenumber", "l_quantity",
-                          "score", "timestamp")).alias("b")
+    best = F.max_by(F.struct("score", "timestamp"),
+                    F.struct("o_orderdate", "l_orderkey", "l_linenumber", "l_quantity")).alias("b")
     return (r.groupBy("uid", "mid").agg(best)
             .select("uid", "mid", F.col("b.score").alias("score"),
                     F.col("b.timestamp").alias("timestamp")))
