@@ -195,7 +195,7 @@ def _block_pairs_fn(theta: float, digits: int):
     import numpy as np
     import pandas as pd
 
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b1, b2 = int(key[0]), int(key[1])
         left = pdf[pdf["blk"] == b1]
         right = pdf[pdf["blk"] == b2]

@@ -223,3 +223,182 @@ register("stream_priority", with_(RATINGS, RECENT, CONTENT_SIMS, ONLINE) +
 register("stream_recs_batch", with_(RATINGS, RECENT, CONTENT_SIMS, ONLINE) + """
 SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank,
        mid, score FROM scored""")
+
+# ---- latent similarity ------------------------------------------------------
+LATENT = """
+latent AS (
+  SELECT m1, m2, sim FROM (
+    SELECT CAST(a.vec_id AS INTEGER) AS m1, CAST(b.vec_id AS INTEGER) AS m2,
+           round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
+                 / (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])))
+                    * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])))), 9) AS sim
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) t
+  WHERE sim > 0.2)"""
+register("item_similarity_latent", with_(LATENT) + "SELECT m1, m2, sim FROM latent")
+
+# ---- blending ---------------------------------------------------------------
+GENRE_TOP = """
+genre_top AS (
+  SELECT genres, mid, score, rank FROM (
+    SELECT g.genres, g.mid, a."avg" AS score,
+           CAST(row_number() OVER (PARTITION BY g.genres ORDER BY a."avg" DESC, g.mid) AS INTEGER) AS rank
+    FROM (SELECT DISTINCT mid, unnest(string_split(genres, '|')) AS genres FROM movies) g
+    JOIN averages a USING (mid) WHERE g.genres <> '') t WHERE rank <= 10)"""
+USERS = """
+users AS (
+  SELECT CAST(c_custkey AS INTEGER) AS uid, c_name AS username, false AS first,
+         CAST(0 AS BIGINT) AS "timestamp",
+         [(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'])[(c_custkey % 6) + 1]] AS prefGenres
+  FROM customer)"""
+COLD = """
+cold AS (
+  SELECT u.uid, t.rank, t.mid, t.score
+  FROM users u JOIN genre_top t ON t.genres = string_split(u.prefGenres[1], ' ')[1]
+  WHERE t.rank <= 10)"""
+STREAM = """
+stream AS (SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank,
+                  mid, score FROM scored)"""
+HYBRID = """
+lists AS (
+  SELECT uid, mid, score, 0 AS src FROM (
+    SELECT a.uid, s.m2 AS mid, s.sim AS score,
+           row_number() OVER (PARTITION BY a.uid ORDER BY s.sim DESC, s.m2) AS r
+    FROM anchors a JOIN sims s ON s.m1 = a.anchor AND s.sim > 0.6) x WHERE r <= 10
+  UNION ALL
+  SELECT uid, mid, score, 1 AS src FROM (
+    SELECT a.uid, l.m2 AS mid, l.sim AS score,
+           row_number() OVER (PARTITION BY a.uid ORDER BY l.sim DESC, l.m2) AS r
+    FROM anchors a JOIN latent l ON l.m1 = a.anchor) x WHERE r <= 10
+  UNION ALL
+  SELECT uid, mid, score, 2 AS src FROM stream WHERE rank <= 10),
+weighted AS (
+  SELECT uid, mid, round(score * CASE src WHEN 0 THEN 0.3 WHEN 1 THEN 0.3 ELSE 0.4 END, 6) AS score, src
+  FROM lists),
+hybrid AS (
+  SELECT * FROM (
+    SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid, src) AS INTEGER) AS rank,
+           mid, score, src FROM weighted) t WHERE rank <= 10)"""
+ALL_ONLINE = (RATINGS, RECENT, CONTENT_SIMS, ONLINE, STREAM)
+register("cold_start_recs", with_(MOVIES, RATINGS, AVERAGES, GENRE_TOP, USERS, COLD) +
+         "SELECT uid, rank, mid, score FROM cold")
+register("hybrid_recs", with_(*ALL_ONLINE, LATENT, HYBRID) + "SELECT uid, rank, mid, score, src FROM hybrid")
+register("guess_recs", with_(*ALL_ONLINE, LATENT, HYBRID, MOVIES, AVERAGES, GENRE_TOP, USERS, COLD) + """
+SELECT uid, rank, mid, score FROM hybrid
+UNION ALL
+SELECT uid, rank, mid, score FROM cold WHERE uid NOT IN (SELECT uid FROM hybrid)""")
+register("wish_recs", with_(*ALL_ONLINE, MOVIES, AVERAGES, GENRE_TOP, USERS, COLD) + """
+SELECT uid, rank, mid, score FROM stream WHERE rank <= 10
+UNION ALL
+SELECT uid, rank, mid, score FROM cold WHERE uid NOT IN (SELECT uid FROM stream)""")
+
+# ---- maintenance ------------------------------------------------------------
+CHANGES = """
+changes AS (
+  SELECT CAST(user_id AS INTEGER) AS uid, CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
+         CAST(round(CAST(CAST(CAST(ceil(least(value, 50.0) / 5.0) AS DOUBLE) / 2.0 AS VARCHAR) AS DECIMAL(38, 12)), 2) AS DOUBLE) AS score,
+         CAST(floor(epoch(ts)) AS INTEGER) AS "timestamp", event_id
+  FROM events),
+last_change AS (
+  SELECT uid, mid, score, "timestamp" FROM (
+    SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY "timestamp" DESC, event_id DESC) AS rn_
+    FROM changes) t WHERE rn_ = 1)"""
+register("merge_ratings", with_(RATINGS, CHANGES) + """
+SELECT coalesce(o.uid, n.uid) AS uid, coalesce(o.mid, n.mid) AS mid,
+       coalesce(n.score, o.score) AS score, coalesce(o."timestamp", n."timestamp") AS "timestamp"
+FROM ratings o FULL OUTER JOIN last_change n ON o.uid = n.uid AND o.mid = n.mid""")
+register("delete_by_key", with_(RATINGS) + """
+SELECT * FROM ratings WHERE uid NOT IN
+  (SELECT CAST(c_custkey AS INTEGER) FROM customer WHERE c_nationkey = 3)""")
+register("append_tags", with_(TAGS) + """,
+cutoff AS (SELECT CAST(epoch(TIMESTAMP '2024-01-15 00:00:00') AS INTEGER) AS c),
+old AS (SELECT mid, array_to_string(list_sort(list_distinct(list(tag))), '|') AS tags
+        FROM tags, cutoff WHERE "timestamp" < c GROUP BY mid),
+new AS (SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
+               string_agg(event_type, '|' ORDER BY floor(epoch(ts)), event_id) AS added
+        FROM events, cutoff WHERE floor(epoch(ts)) >= c GROUP BY 1),
+docs AS (SELECT CAST(p_partkey AS INTEGER) AS mid FROM part)
+SELECT d.mid, CASE WHEN concat_ws('|', o.tags, n.added) = '' THEN NULL ELSE concat_ws('|', o.tags, n.added) END AS tags
+FROM docs d LEFT JOIN old o USING (mid) LEFT JOIN new n USING (mid)""")
+register("insert_users_if_absent", with_(USERS) + """,
+names AS (
+  SELECT printf('Customer#%09d', user_id) AS username, CAST(floor(epoch(ts)) AS INTEGER) AS ts FROM events
+  UNION ALL
+  SELECT 'guest' || CAST(user_id AS VARCHAR), CAST(floor(epoch(ts)) AS INTEGER) FROM events),
+fresh AS (SELECT username, min(ts) AS ts FROM names WHERE username NOT IN (SELECT username FROM users)
+          GROUP BY username)
+SELECT uid, username, first, "timestamp", array_to_string(prefGenres, '|') AS prefs FROM users
+UNION ALL
+SELECT CAST(CASE WHEN h_ >= 2147483648 THEN h_ - 4294967296 ELSE h_ END AS INTEGER), username, true,
+       CAST(ts AS BIGINT), '' FROM (
+  SELECT username, ts,
+         list_reduce(list_transform(string_split(username, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                     lambda h, x: (h * 31 + x) % 4294967296, CAST(0 AS BIGINT)) AS h_
+  FROM fresh) t""")
+register("merge_preferences", with_(USERS) + """,
+prefs AS (
+  SELECT printf('Customer#%09d', e.user_id) AS username, p.p_type || ',' || p.p_brand AS genres,
+         CAST(floor(epoch(e.ts)) AS BIGINT) * 1000000 + e.event_id AS ts
+  FROM events e JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+  WHERE e.event_type = 'signup'),
+added AS (SELECT username, string_agg(genres, ',' ORDER BY ts) AS g FROM prefs GROUP BY username)
+SELECT u.uid, u.username, CASE WHEN a.g IS NULL THEN u.first ELSE false END AS first, u."timestamp",
+       CASE WHEN a.g IS NULL THEN array_to_string(u.prefGenres, '|')
+            ELSE array_to_string(list_concat(u.prefGenres, string_split(a.g, ',')), '|') END AS prefs
+FROM users u LEFT JOIN added a USING (username)""")
+
+# ---- search -----------------------------------------------------------------
+INDEX = """
+docs AS (SELECT CAST(doc_id AS INTEGER) AS mid, regexp_extract(text, '^\\s*(\\S+(\\s+\\S+){0,4})', 1) AS name,
+                text AS descri FROM documents),
+fld AS (SELECT mid, 'name' AS field, name AS body FROM docs
+        UNION ALL SELECT mid, 'descri' AS field, descri AS body FROM docs),
+toks AS (SELECT field, mid, unnest(regexp_split_to_array(lower(body), '[^\\p{L}\\p{N}]+')) AS term FROM fld),
+post AS (SELECT field, mid, term, count(*) AS tf FROM toks WHERE term <> '' GROUP BY ALL),
+lens AS (SELECT field, mid, count(*) FILTER (WHERE term <> '') AS dl FROM toks GROUP BY ALL),
+avgdl AS (SELECT field, avg(dl) AS avgdl FROM lens GROUP BY field),
+ndoc AS (SELECT count(*) AS n FROM docs),
+st AS (SELECT field, term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+       FROM post, ndoc GROUP BY field, term, n)"""
+BM25 = """
+hits AS (
+  SELECT q.qid, p.field, p.mid,
+         sum(s.idf * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / a.avgdl))) AS s
+  FROM qterms q JOIN post p USING (term) JOIN st s ON s.field = p.field AND s.term = p.term
+  JOIN lens l ON l.field = p.field AND l.mid = p.mid JOIN avgdl a ON a.field = p.field
+  GROUP BY q.qid, p.field, p.mid),
+best AS (SELECT qid, mid, round(max(s), 9) AS score FROM hits GROUP BY qid, mid)"""
+register("text_search", with_(INDEX) + """,
+queries AS (SELECT CAST(item_id AS INTEGER) AS qid,
+                   regexp_extract(text, '^\\s*(\\S+(\\s+\\S+){0,3})', 1) AS text FROM benchmark),
+qterms AS (SELECT DISTINCT qid, term FROM
+           (SELECT qid, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM queries)
+           WHERE term <> ''),""" + BM25 + """
+SELECT qid, rank, mid, round(score, 6) AS score FROM (
+  SELECT qid, mid, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, mid) AS INTEGER) AS rank
+  FROM best) t WHERE rank <= 100""")
+register("more_like_this", with_(INDEX) + """,
+tfall AS (SELECT mid, term, sum(tf) AS tf FROM post GROUP BY mid, term),
+idfall AS (SELECT term, max(idf) AS idf FROM st GROUP BY term),
+seedw AS (SELECT t.mid AS qid, t.term, round(t.tf * i.idf, 9) AS w FROM tfall t JOIN idfall i USING (term)),
+qterms AS (SELECT qid, term FROM (
+  SELECT qid, term, row_number() OVER (PARTITION BY qid ORDER BY w DESC, term) AS r FROM seedw) x WHERE r <= 25),""" + BM25 + """
+SELECT qid, rank, mid, round(score, 6) AS score FROM (
+  SELECT qid, mid, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, mid) AS INTEGER) AS rank
+  FROM best WHERE mid <> qid) t WHERE rank <= 10""")
+register("fuzzy_genre_search", """
+WITH items AS (SELECT CAST(p_partkey AS INTEGER) AS mid,
+                      concat_ws('|', p_type, p_brand, replace(p_name, ' ', '|')) AS genres FROM part),
+gt AS (SELECT DISTINCT mid, token FROM
+       (SELECT mid, unnest(regexp_split_to_array(lower(genres), '[^\\p{L}\\p{N}]+')) AS token FROM items)
+       WHERE token <> ''),
+voc AS (SELECT token, count(*) AS df FROM gt GROUP BY token),
+nd AS (SELECT count(*) AS n FROM items),
+terms AS (SELECT DISTINCT p_type AS qid, lower(substring(p_type, 1, length(p_type) - 1)) AS term FROM part),
+m AS (SELECT qid, term, token, levenshtein(term, token) AS dist FROM terms CROSS JOIN voc
+      WHERE levenshtein(term, token) <= CASE WHEN length(term) <= 2 THEN 0 WHEN length(term) <= 5 THEN 1 ELSE 2 END),
+sc AS (SELECT m.qid, g.mid,
+              round(max(ln(1 + (nd.n - v.df + 0.5) / (v.df + 0.5)) * (1 - m.dist / length(m.term))), 9) AS score
+       FROM m JOIN voc v USING (token) JOIN gt g USING (token) CROSS JOIN nd GROUP BY m.qid, g.mid)
+SELECT qid, rank, mid, round(score, 6) AS score FROM (
+  SELECT qid, mid, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, mid) AS INTEGER) AS rank
+  FROM sc) t WHERE rank <= 100""")

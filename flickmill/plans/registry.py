@@ -306,3 +306,141 @@ def stream_priority(spark, d):
 def stream_recs_batch(spark, d):
     """Flagship: the streaming job's re-rank for every user at once."""
     return online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+
+
+# ---- 2.9 latent similarity (dense) ----------------------------------------
+@query
+def item_similarity_latent(spark, d):
+    """M9 on the given latent vectors; cut 0.2 (the 0.6 cut is empty on this data)."""
+    return sim.item_similarity_latent(ad.latent_vectors(spark, d), 0.2, block_size=256)
+
+
+# ---- 2.7 blending and cold start ------------------------------------------
+from flickmill.operators import blend, maintain, search  # noqa: E402
+
+
+def _genre_top(spark, d):
+    return stats.genres_top_movies(ad.movies(spark, d, with_issue=False),
+                                   stats.average_movies(ad.ratings(spark, d)), 10)
+
+
+def _hybrid_lists(spark, d):
+    ratings, _, anchors = _anchors_and_recent(spark, d)
+    content = _content_sims(spark, d).edges()
+    latent = sim.item_similarity_latent(ad.latent_vectors(spark, d), 0.2, block_size=256)
+    a = anchors.join(content.withColumnRenamed("m1", "anchor"), "anchor") \
+        .select("uid", F.col("m2").alias("mid"), F.col("sim").alias("score"))
+    b = anchors.join(latent.withColumnRenamed("m1", "anchor"), "anchor") \
+        .select("uid", F.col("m2").alias("mid"), F.col("sim").alias("score"))
+    c = online.stream_recs_batch(ratings, _content_sims(spark, d)).select("uid", "mid", "score")
+    return [a, b, c]
+
+
+@query
+def hybrid_recs(spark, d):
+    return blend.hybrid_recs(_hybrid_lists(spark, d), 10)
+
+
+@query
+def cold_start_recs(spark, d):
+    return blend.cold_start_recs(ad.users(spark, d), _genre_top(spark, d), 10, pick="first")
+
+
+@query
+def guess_recs(spark, d):
+    return blend.guess_recs(ad.users(spark, d), _hybrid_lists(spark, d), _genre_top(spark, d), 10)
+
+
+@query
+def wish_recs(spark, d):
+    """U3 with the streaming lists as the users' own lists."""
+    stream = online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+    return blend.wish_recs(ad.users(spark, d), stream, _genre_top(spark, d), 10)
+
+
+# ---- 2.12 maintenance -----------------------------------------------------
+def _rating_changes(spark, d):
+    e = ad.table(spark, d, "events")
+    return e.select(F.col("user_id").cast("int").alias("uid"),
+                    F.get_json_object("props", "$.k").cast("int").alias("mid"),
+                    F.ceil(F.least("value", F.lit(50.0)) / F.lit(5.0)).cast("double").alias("score"),
+                    fx.epoch_seconds(F.col("ts")).alias("timestamp"), "event_id")
+
+
+@query
+def merge_ratings(spark, d):
+    return maintain.merge_ratings(ad.ratings(spark, d), _rating_changes(spark, d), "event_id")
+
+
+@query
+def delete_by_key(spark, d):
+    return maintain.delete_by_key(ad.ratings(spark, d),
+                                  _customers(spark, d, F.col("c_nationkey") == 3), "uid")
+
+
+@query
+def append_tags(spark, d):
+    tags = ad.tags(spark, d)
+    cut = F.unix_timestamp(F.lit("2024-01-15 00:00:00"))
+    docs = ad.content_items(spark, d).select("mid").join(
+        stats.tags_per_movie(tags.where(F.col("timestamp") < cut)), "mid", "left")
+    new = tags.where(F.col("timestamp") >= cut).join(
+        ad.table(spark, d, "events").select(fx.epoch_seconds("ts").alias("timestamp"),
+                                            F.col("user_id").cast("int").alias("uid"), "event_id"),
+        ["uid", "timestamp"])
+    return maintain.append_tags(docs, new, "event_id").select("mid", "tags")
+
+
+def _user_rows(users):
+    return users.select("uid", "username", "first", "timestamp",
+                        F.array_join("prefGenres", "|").alias("prefs"))
+
+
+@query
+def insert_users_if_absent(spark, d):
+    e = ad.table(spark, d, "events")
+    ts = fx.epoch_seconds("ts")
+    known = e.select(F.format_string("Customer#%09d", F.col("user_id")).alias("username"),
+                     ts.alias("timestamp"))
+    guests = e.select(F.concat(F.lit("guest"), F.col("user_id").cast("string")).alias("username"),
+                      ts.alias("timestamp"))
+    return _user_rows(maintain.insert_users_if_absent(ad.users(spark, d), known.unionByName(guests)))
+
+
+@query
+def merge_preferences(spark, d):
+    e = ad.table(spark, d, "events").where(F.col("event_type") == "signup")
+    p = ad.table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("k"), "p_type", "p_brand")
+    prefs = (e.select(F.format_string("Customer#%09d", F.col("user_id")).alias("username"),
+                      F.get_json_object("props", "$.k").cast("int").alias("k"),
+                      fx.epoch_seconds("ts").alias("timestamp"), "event_id")
+             .join(p, "k")
+             .select("username", F.concat_ws(",", "p_type", "p_brand").alias("genres"),
+                     (F.col("timestamp").cast("long") * 1000000 + F.col("event_id")).alias("timestamp")))
+    return _user_rows(maintain.merge_preferences(ad.users(spark, d), prefs))
+
+
+# ---- 2.11 search -----------------------------------------------------------
+def _bench_queries(spark, d):
+    b = ad.table(spark, d, "benchmark")
+    return b.select(F.col("item_id").cast("int").alias("qid"),
+                    F.regexp_extract("text", r"^\s*(\S+(\s+\S+){0,3})", 1).alias("text"))
+
+
+@query
+def text_search(spark, d):
+    return search.text_search(ad.search_documents(spark, d), _bench_queries(spark, d), n=100)
+
+
+@query
+def fuzzy_genre_search(spark, d):
+    terms = (ad.table(spark, d, "part").select(F.col("p_type").alias("qid")).distinct()
+             .select("qid", F.expr("substring(qid, 1, length(qid) - 1)").alias("term")))
+    return search.fuzzy_genre_search(ad.content_items(spark, d), terms, n=100)
+
+
+@query
+def more_like_this(spark, d):
+    docs = ad.search_documents(spark, d)
+    seeds = docs.select(F.col("mid").alias("qid"), "mid")
+    return search.more_like_this(docs, seeds, n=10, max_terms=25)
