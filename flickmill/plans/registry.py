@@ -444,3 +444,125 @@ def more_like_this(spark, d):
     docs = ad.search_documents(spark, d)
     seeds = docs.select(F.col("mid").alias("qid"), "mid")
     return search.more_like_this(docs, seeds, n=10, max_terms=25)
+
+
+# ---- 2.9 model ------------------------------------------------------------
+from flickmill.operators import model as mdl  # noqa: E402
+
+# Small rank for the registered fits: rank 200 on local cores is slow and the
+# query still exercises every step (see README).
+TEST_RANK = 10
+
+
+def _fit(spark, d):
+    return mdl.als_fit(ad.ratings(spark, d), rank=TEST_RANK, iters=5, reg=0.1, seed=7)
+
+
+@query
+def als_user_recs(spark, d):
+    return mdl.als_user_recs(_fit(spark, d), 20)
+
+
+@query
+def item_factors(spark, d):
+    return mdl.item_factors(_fit(spark, d))
+
+
+@query
+def item_similarity_als(spark, d):
+    """M9 on ALS item factors (cut 0.6)."""
+    return sim.item_similarity_latent(mdl.item_factors(_fit(spark, d)), 0.6)
+
+
+@query
+def predict_pairs(spark, d):
+    ratings = ad.ratings(spark, d)
+    train, test = mdl.split_ratings(ratings, 0.8, seed=7, by="hash")
+    m = mdl.als_fit(train, rank=TEST_RANK, iters=5, reg=0.1, seed=7)
+    return mdl.predict_pairs(m, test.select("uid", "mid", "score"))
+
+
+@query
+def positive_predictions(spark, d):
+    return mdl.positive_predictions(predict_pairs(spark, d))
+
+
+@query
+def predict_all(spark, d):
+    return mdl.predict_all(_fit(spark, d))
+
+
+@query
+def split_ratings(spark, d):
+    train, test = mdl.split_ratings(ad.ratings(spark, d), 0.8, seed=7)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query
+def rmse(spark, d):
+    """A4/J5 on a given prediction table: each rating predicted by its movie's mean."""
+    ratings = ad.ratings(spark, d)
+    return mdl.rmse(mdl.mean_predictor(ratings, stats.average_movies(ratings))) \
+        .select(F.round("rmse", 6).alias("rmse"))
+
+
+@query
+def als_tune(spark, d):
+    """M5 + K5: the 4 x 3 grid of the recommender, at ranks scaled down for local runs."""
+    return mdl.als_tune(ad.ratings(spark, d), ranks=(5, 10, 20, 30), regs=mdl.TUNE_REGS, seed=7)
+
+
+@query
+def best_params(spark, d):
+    return mdl.best_params(als_tune(spark, d))
+
+
+@query
+def user_top_n(spark, d):
+    """W1 on given scores: the user's rated movies by score (ties: mid)."""
+    return rank.user_top_n(ad.ratings(spark, d).select("uid", "mid", "score"), 20)
+
+
+@query
+def recs_to_lists(spark, d):
+    """A3 on the capped content lists; the list is shown as text for comparison."""
+    lists = rank.recs_to_lists(rank.similar_items_all(_content_sims(spark, d).edges(), 20)
+                               .select(F.col("m1").alias("mid_key"), F.col("m2").alias("mid"),
+                                       F.col("sim").alias("score")), "mid_key")
+    return lists.select(F.col("mid_key").alias("m1"), F.size("recs").alias("n"),
+                        F.array_join(F.transform("recs", lambda r: F.concat_ws(
+                            ":", r["mid"].cast("string"), r["score"].cast("string"))), ",")
+                        .alias("recs"))
+
+
+@query
+def recs_top_n(spark, d):
+    """W8 on the stored list form: explode each list, first 5."""
+    lists = rank.recs_to_lists(rank.similar_items_all(_content_sims(spark, d).edges(), 20)
+                               .select(F.col("m1").alias("mid_key"), F.col("m2").alias("mid"),
+                                       F.col("sim").alias("score")), "mid_key")
+    return rank.recs_top_n(rank.lists_to_long(lists, "mid_key"), "mid_key", 5) \
+        .select(F.col("mid_key").alias("m1"), "rank", "mid", "score")
+
+
+@query
+def movie_cf_recs(spark, d):
+    """W10 by mid on the latent similarity lists."""
+    latent = sim.item_similarity_latent(ad.latent_vectors(spark, d), 0.2, block_size=256)
+    return rank.recs_top_n(latent.select(F.col("m1").alias("key"), F.col("m2").alias("mid"),
+                                         F.col("sim").alias("score")), "key", 5)
+
+
+@query
+def user_cf_recs(spark, d):
+    """W10 by uid on the streaming lists."""
+    stream = online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+    return rank.recs_top_n(stream.select("uid", "mid", "score"), "uid", 5)
+
+
+@query
+def hits_to_recs(spark, d):
+    """Q4: raw BM25 hits of the benchmark queries -> ranked (qid, rank, mid, score), first 20."""
+    idx = search.build_index(ad.search_documents(spark, d))
+    hits = search.bm25(idx, search.query_terms(_bench_queries(spark, d)))
+    return search.hits_to_recs(hits, 20)
