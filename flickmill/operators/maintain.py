@@ -17,12 +17,14 @@ def _last_per_key(changes: DataFrame, keys: list[str], order: list[str], values:
     return changes.groupBy(*keys).agg(best).select(*keys, *[F.col("_b." + v).alias(v) for v in values])
 
 
-def merge_ratings(stored: DataFrame, changes: DataFrame, order_col: str | None = None) -> DataFrame:
+def merge_ratings(stored: DataFrame, changes: DataFrame, order_col: str | None = None,
+                  halve: bool = True) -> DataFrame:
     """A pair that exists gets the new score only (timestamp unchanged); a
-    new pair is inserted. Incoming scores are on the 10-point scale and halved.
+    new pair is inserted. Incoming scores are on the 10-point scale and halved
+    (``halve=False`` for changes already on the 5-point scale).
     With several changes for one pair the last (timestamp, order_col) wins."""
     order = ["timestamp"] + ([order_col] if order_col else [])
-    ch = changes.withColumn("score", halve_score(F.col("score")))
+    ch = changes.withColumn("score", halve_score(F.col("score"))) if halve else changes
     last = _last_per_key(ch, ["uid", "mid"], order, ["score", "timestamp"])
     old = stored.select("uid", "mid", F.col("score").alias("old_score"),
                         F.col("timestamp").alias("old_ts"))

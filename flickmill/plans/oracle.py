@@ -436,3 +436,44 @@ qterms AS (SELECT DISTINCT qid, term FROM
 SELECT qid, rank, mid, round(score, 6) AS score FROM (
   SELECT qid, mid, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, mid) AS INTEGER) AS rank
   FROM best) t WHERE rank <= 20""")
+register("rating_stream", SQL["parse_rating_events"])
+register("bridge_stream", """
+SELECT concat_ws('|', CAST(user_id AS VARCHAR), json_extract_string(props, '$.k'),
+                 CAST(CAST(ceil(least(value, 50.0) / 5.0) / 2.0 AS DOUBLE) AS VARCHAR),
+                 CAST(CAST(floor(epoch(ts)) AS INTEGER) AS VARCHAR)) AS value
+FROM events WHERE event_type = 'purchase'""")
+register("recent_state", """
+SELECT uid, rank, mid, score FROM (
+  SELECT CAST(user_id AS INTEGER) AS uid, CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
+         CAST(ceil(least(value, 50.0) / 5.0) / 2.0 AS DOUBLE) AS score,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY floor(epoch(ts)) DESC, event_id DESC) AS INTEGER) AS rank
+  FROM events) t WHERE rank <= 20""")
+register("stream_recs", with_(RATINGS, CONTENT_SIMS) + """,
+ev AS (SELECT CAST(user_id AS INTEGER) AS uid, CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
+              CAST(ceil(least(value, 50.0) / 5.0) / 2.0 AS DOUBLE) AS score,
+              CAST(floor(epoch(ts)) AS INTEGER) AS "timestamp", event_id AS seq FROM events),
+hist AS (SELECT uid, mid, score, "timestamp", -1 AS seq FROM ratings WHERE uid IN (SELECT uid FROM ev)
+         UNION ALL SELECT uid, mid, score, "timestamp", seq FROM ev),
+recent AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, seq DESC, mid) AS rank
+                          FROM hist) t WHERE rank <= 20),
+anchors AS (SELECT uid, mid AS anchor FROM (
+              SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, seq DESC, mid) AS rn FROM ev) t
+            WHERE rn = 1),
+seen AS (SELECT DISTINCT uid, mid FROM hist),
+cands AS (
+  SELECT * FROM (
+    SELECT a.uid, s.m2 AS mid, s.sim,
+           row_number() OVER (PARTITION BY a.uid ORDER BY s.sim DESC, s.m2) AS rank
+    FROM anchors a JOIN sims s ON s.m1 = a.anchor AND s.sim > 0.6
+    WHERE NOT EXISTS (SELECT 1 FROM seen r WHERE r.uid = a.uid AND r.mid = s.m2)) t
+  WHERE rank <= 20),
+scored AS (
+  SELECT c.uid, c.mid,
+         round(avg(s.sim * r.score)
+               + log10(greatest(count(*) FILTER (WHERE r.score > 3), 1))
+               - log10(greatest(count(*) FILTER (WHERE r.score <= 3), 1)), 6) AS score
+  FROM cands c JOIN recent r ON r.uid = c.uid
+  JOIN sims s ON s.m1 = c.mid AND s.m2 = r.mid AND s.sim > 0.7
+  GROUP BY c.uid, c.mid)
+SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank, mid, score
+FROM scored""")

@@ -566,3 +566,89 @@ def hits_to_recs(spark, d):
     idx = search.build_index(ad.search_documents(spark, d))
     hits = search.bm25(idx, search.query_terms(_bench_queries(spark, d)))
     return search.hits_to_recs(hits, 20)
+
+
+# ---- 2.10 streaming (rows-only checks; the batch twin has SQL) --------------
+import uuid  # noqa: E402
+
+from flickmill.session import scratch_dir  # noqa: E402
+from flickmill.streaming import stream as st  # noqa: E402
+
+
+def _stage_messages(spark, d, files: int = 4) -> str:
+    """Rating messages (value, seq) as parquet files, one write per slice of
+    event time, so the file source (which orders by modification time)
+    replays them in event order."""
+    path = scratch_dir(spark, f"stage-{uuid.uuid4().hex}")
+    msgs = ad.rating_event_lines(spark, d).select("value", F.col("event_id").alias("seq"), "ts")
+    day = F.dayofmonth("ts")
+    bounds = [1 + (31 * i) // files for i in range(files)] + [32]
+    for i in range(files):
+        (msgs.where((day >= bounds[i]) & (day < bounds[i + 1])).select("value", "seq")
+         .coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(path))
+    return path
+
+
+def _stage_log(spark, d, files: int = 4) -> str:
+    path = scratch_dir(spark, f"log-{uuid.uuid4().hex}")
+    lines = ad.rating_log_lines(spark, d).join(
+        ad.table(spark, d, "events").select("event_id", "ts"), "event_id")
+    day = F.dayofmonth("ts")
+    bounds = [1 + (31 * i) // files for i in range(files)] + [32]
+    for i in range(files):
+        (lines.where((day >= bounds[i]) & (day < bounds[i + 1])).coalesce(1)
+         .sortWithinPartitions("event_id").select("value").write.mode("append").text(path))
+    return path
+
+
+@query
+def rating_stream(spark, d):
+    """S5 + S6 as a stream: staged messages -> parsed rows (parquet sink)."""
+    src = _stage_messages(spark, d)
+    out = scratch_dir(spark, f"parsed-{uuid.uuid4().hex}")
+    parsed = readers.parse_rating_events(st.rating_stream(spark, "parquet", src, maxFilesPerTrigger=1))
+    q = (parsed.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("uid", "mid", "score", "timestamp",
+                                          F.col("seq").alias("event_id"))
+
+
+@query
+def bridge_stream(spark, d):
+    """Log lines -> rating messages, as a stream."""
+    logs = _stage_log(spark, d)
+    out = scratch_dir(spark, f"bridge-{uuid.uuid4().hex}")
+    q = st.bridge_stream(spark, logs, out, out + "-ckpt", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("value")
+
+
+@query
+def recent_state(spark, d):
+    """Keyed list state of the last 20 ratings per user over the event stream."""
+    src = _stage_messages(spark, d)
+    out = scratch_dir(spark, f"recent-{uuid.uuid4().hex}")
+    ev = readers.parse_rating_events(st.rating_stream(spark, "parquet", src, maxFilesPerTrigger=1))
+    lists = st.recent_state(ev, 20)
+    q = (lists.writeStream.outputMode("update")
+         .foreachBatch(lambda df, eid: df.withColumn("epoch", F.lit(eid)).write.mode("append").parquet(out))
+         .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    last = got.groupBy("uid").agg(F.max("epoch").alias("epoch"))
+    return readers.parse_recent_list(got.join(last, ["uid", "epoch"]), 20)
+
+
+@query
+def stream_recs(spark, d):
+    """The streaming job end to end over the event stream."""
+    root = scratch_dir(spark, f"store-{uuid.uuid4().hex}")
+    store = st.StreamStore(root)
+    st.init_store(store, ad.ratings(spark, d))
+    st.save_sims(_content_sims(spark, d), store.path("sims"))
+    src = _stage_messages(spark, d)
+    q = st.run_stream(st.rating_stream(spark, "parquet", src, maxFilesPerTrigger=1), store,
+                      st.sims_reader(store.path("sims")), store.path("ckpt"), available_now=True)
+    q.awaitTermination()
+    return st.current_stream_recs(spark, store)
