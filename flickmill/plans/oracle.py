@@ -477,3 +477,18 @@ scored AS (
   GROUP BY c.uid, c.mid)
 SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank, mid, score
 FROM scored""")
+register("write_table", with_(RATINGS) + "SELECT mid, count(*) AS count FROM ratings GROUP BY mid")
+register("drop_and_load", with_(MOVIES) + "SELECT * FROM movies")
+register("upsert_user_recs", with_(*ALL_ONLINE, MOVIES, AVERAGES, GENRE_TOP, USERS, COLD) + """
+SELECT uid, rank, mid, score FROM stream WHERE rank <= 10
+UNION ALL
+SELECT uid, rank, mid, score FROM cold WHERE uid NOT IN (SELECT uid FROM stream)""")
+register("search_docs", with_(MOVIES, TAGS) + """
+SELECT m.mid, m.name, m.genres, t.tags FROM movies m LEFT JOIN
+  (SELECT mid, array_to_string(list_sort(list_distinct(list(tag))), '|') AS tags
+   FROM tags GROUP BY mid) t USING (mid)""")
+register("vector_functions", """
+WITH v AS (SELECT CAST(vec_id AS INTEGER) AS mid, CAST(embedding AS DOUBLE[]) AS f FROM embeddings)
+SELECT a.mid, round(list_dot_product(a.f, b.f), 6) AS dot, round(sqrt(list_dot_product(a.f, a.f)), 6) AS norm,
+       round(list_dot_product(a.f, b.f) / (sqrt(list_dot_product(a.f, a.f)) * sqrt(list_dot_product(b.f, b.f))), 6) AS cosine
+FROM v a JOIN v b ON b.mid = a.mid + 1""")

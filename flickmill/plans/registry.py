@@ -652,3 +652,78 @@ def stream_recs(spark, d):
                       st.sims_reader(store.path("sims")), store.path("ckpt"), available_now=True)
     q.awaitTermination()
     return st.current_stream_recs(spark, store)
+
+
+# ---- 2.2 sinks --------------------------------------------------------------
+from flickmill.sources import sinks  # noqa: E402
+
+
+@query
+def write_table(spark, d):
+    """K1: replace a whole result table, read it back (typed)."""
+    path = scratch_dir(spark, f"table-{uuid.uuid4().hex}")
+    sinks.write_table(stats.rate_more_movies(ad.ratings(spark, d)), path)
+    sinks.write_table(stats.rate_more_movies(ad.ratings(spark, d)), path)  # replace, not append
+    return readers.read_table(spark, path, T.StructType([T.StructField("mid", T.IntegerType()),
+                                                        T.StructField("count", T.LongType())]))
+
+
+@query
+def drop_and_load(spark, d):
+    """K2: the three base tables loaded in one go; the movie table read back."""
+    out = scratch_dir(spark, f"load-{uuid.uuid4().hex}")
+    paths = sinks.load_all(ad.movies(spark, d), ad.ratings(spark, d), ad.tags(spark, d), out)
+    from flickmill import schemas
+    return readers.read_table(spark, paths["Movie"], schemas.MOVIE)
+
+
+@query
+def upsert_user_recs(spark, d):
+    """K3 (batch form): stored cold-start lists replaced by the streaming lists
+    of every user that has one; versioned write, current version read back."""
+    root = scratch_dir(spark, f"recs-{uuid.uuid4().hex}")
+    stored = blend.cold_start_recs(ad.users(spark, d), _genre_top(spark, d), 10)
+    sinks.write_version(stored, root, 1)
+    new = rank.recs_top_n(online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+                          .select("uid", "mid", "score"), "uid", 10)
+    cur = sinks.read_current(spark, root)
+    sinks.write_version(sinks.upsert_user_recs(cur, new.select(*cur.columns)), root, 2)
+    return sinks.read_current(spark, root)
+
+
+@query
+def search_docs(spark, d):
+    """K4: one search document per movie with its distinct tags."""
+    return sinks.search_docs(ad.movies(spark, d), ad.tags(spark, d)).select("mid", "name", "genres", "tags")
+
+
+@query
+def best_params_report(spark, d):
+    """K5: all tuning settings, best first."""
+    return als_tune(spark, d)
+
+
+@query
+def als_fit(spark, d):
+    """M1: the fitted factor tables (user and item rows with their rank-long vectors)."""
+    m = _fit(spark, d)
+    return (m.userFactors.select(F.lit("user").alias("side"), "id", F.size("features").alias("rank"))
+            .unionByName(m.itemFactors.select(F.lit("item").alias("side"), "id",
+                                              F.size("features").alias("rank"))))
+
+
+@query
+def term_frequency_hashed(spark, d):
+    """M7 hashed form: 50 Murmur3 buckets like HashingTF."""
+    return sim.term_frequency(ad.content_items(spark, d), hashed=50)
+
+
+@query
+def vector_functions(spark, d):
+    """dot, norm and cosine of each latent vector with the next one by id."""
+    v = ad.latent_vectors(spark, d)
+    nxt = v.select((F.col("mid") - 1).alias("mid"), F.col("features").alias("other"))
+    return v.join(nxt, "mid").select(
+        "mid", F.round(fx.dot("features", "other"), 6).alias("dot"),
+        F.round(fx.norm("features"), 6).alias("norm"),
+        F.round(fx.cosine("features", "other"), 6).alias("cosine"))
