@@ -13,14 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flickmill.functions.scalar import epoch_seconds
+from flickmill.plans.partitioning import spread
 
 # The six part types in sorted order; a customer's preferred
 # genre is the type at index (c_custkey mod 6).
 PREFERRED_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
+# Fact-sized tables whose scans are spread when they come in too few splits.
+SPREAD = {"lineitem", "orders", "events", "documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in SPREAD else df
 
 
 def _score_from_quantity(q) -> F.Column:
