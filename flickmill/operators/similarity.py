@@ -60,18 +60,27 @@ def content_tokens(items: DataFrame, text_col: str = "genres", bars: bool = True
     return items.select("mid", tokenize(text).alias("tokens"))
 
 
-def _hash_terms(tok: DataFrame, hashed: int | None) -> DataFrame:
-    if not hashed:
-        return tok
-    return tok.select("mid", F.transform("tokens", lambda t: F.pmod(F.hash(t), F.lit(hashed))
-                                         .cast("string")).alias("tokens"))
+def _hashed_vectors(tok: DataFrame, buckets: int) -> DataFrame:
+    """(mid, tfv): HashingTF's term-count vector as a dense array of ``buckets``."""
+    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.functions import vector_to_array
+    v = HashingTF(inputCol="tokens", outputCol="_v", numFeatures=buckets).transform(tok)
+    return v.select("mid", vector_to_array("_v").alias("tfv"))
+
+
+def _explode_dense(df: DataFrame, col: str, keys) -> DataFrame:
+    return (df.select(*keys, F.posexplode(col).alias("pos", "tf"))
+            .where(F.col("tf") != 0)
+            .select(*keys, F.col("pos").cast("string").alias("term"), "tf"))
 
 
 def term_frequency(items: DataFrame, text_col: str = "genres", hashed: int | None = None,
                    bars: bool = True) -> DataFrame:
-    """M7: (mid, term, tf). ``hashed=50`` maps terms to 50 Murmur3 buckets like
-    HashingTF (seed 42, non-negative modulo); default is the exact term."""
-    tok = _hash_terms(content_tokens(items, text_col, bars), hashed)
+    """M7: (mid, term, tf). ``hashed=50`` is Spark's HashingTF with 50 buckets
+    (the term is the bucket number); default is the exact term."""
+    tok = content_tokens(items, text_col, bars)
+    if hashed:
+        return _explode_dense(_hashed_vectors(tok, hashed), "tfv", ["mid"])
     return (tok.select("mid", F.explode("tokens").alias("term"))
             .groupBy("mid", "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
@@ -101,18 +110,28 @@ def sparse_signatures(items: DataFrame, text_col: str = "genres", bars: bool = T
     never gathered in one task. Term counts are taken once per signature.
 
     Returns (members (mid, sig), sig_tf (sig, term, tf, n_items), n_docs column)."""
-    tok = _hash_terms(content_tokens(items, text_col, bars), hashed)
-    # tokens never contain white space, so joining the sorted list with one
-    # blank is a lossless key (given the token count)
-    keyed = tok.select("mid", F.array_join(F.array_sort("tokens"), " ").alias("key"),
-                       F.size("tokens").alias("n_tok"))
+    tok = content_tokens(items, text_col, bars)
+    if hashed:
+        # the dense bucket-count vector, joined with commas, is a lossless key
+        keyed = _hashed_vectors(tok, hashed).select(
+            "mid", F.array_join(F.transform("tfv", lambda x: x.cast("string")), ",").alias("key"),
+            F.lit(1).alias("n_tok"))
+    else:
+        # tokens never contain white space, so joining the sorted list with one
+        # blank is a lossless key (given the token count)
+        keyed = tok.select("mid", F.array_join(F.array_sort("tokens"), " ").alias("key"),
+                           F.size("tokens").alias("n_tok"))
     groups = keyed.groupBy("key", "n_tok").agg(F.min("mid").alias("sig"),
                                                F.count(F.lit(1)).alias("n_items"))
     members = keyed.join(groups, ["key", "n_tok"]).select("mid", "sig")
-    sig_tf = (groups.where(F.col("n_tok") > 0)
-              .select("sig", "n_items", F.explode(F.split("key", " ", -1)).alias("term"))
-              .groupBy("sig", "n_items", "term")
-              .agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    reps = groups.where(F.col("n_tok") > 0)
+    if hashed:
+        sig_tf = _explode_dense(reps.select("sig", "n_items", F.split("key", ",").cast("array<double>")
+                                            .alias("tfv")), "tfv", ["sig", "n_items"])
+    else:
+        sig_tf = (reps.select("sig", "n_items", F.explode(F.split("key", " ", -1)).alias("term"))
+                  .groupBy("sig", "n_items", "term")
+                  .agg(F.count(F.lit(1)).cast("double").alias("tf")))
     n_docs = items.select(F.count(F.lit(1))).scalar()
     return members, sig_tf, n_docs
 

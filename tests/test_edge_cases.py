@@ -132,3 +132,14 @@ def test_java_split_commas(spark):
     df = spark.createDataFrame([("a,b,",), (",",), ("",), (",a",)], "s string")
     got = [r.x for r in df.select(fx.comma_list("s").alias("x")).collect()]
     assert got == [["a", "b"], [], [""], ["", "a"]]
+
+
+def test_hashed_terms_match_hashingtf(spark):
+    from pyspark.ml.feature import HashingTF
+    items = spark.createDataFrame([(1, "n", "Drama|Comedy|drama"), (2, "m", "Sci-Fi|War")],
+                                  "mid int, name string, genres string")
+    got = {(r.mid, int(r.term)): r.tf for r in similarity.term_frequency(items, hashed=50).collect()}
+    toks = similarity.content_tokens(items)
+    vecs = HashingTF(inputCol="tokens", outputCol="v", numFeatures=50).transform(toks).collect()
+    want = {(r.mid, int(i)): float(v) for r in vecs for i, v in zip(r.v.indices, r.v.values)}
+    assert got == want
