@@ -9,7 +9,7 @@ __all__ = [
     "java_split", "split_fields", "to_int", "to_double", "join_tags", "bars_to_blanks",
     "tokenize", "log10_count", "halve_score", "half_star_bucket", "name_to_uid",
     "first_word", "comma_list", "dot", "norm", "cosine", "now_epoch_seconds",
-    "append_separated", "epoch_seconds", "round_sim", "round_score",
+    "append_separated", "epoch_seconds", "epoch_of", "yearmonth_of_epoch", "round_sim", "round_score",
     "SIM_DIGITS", "SCORE_DIGITS",
 ]
 
@@ -123,8 +123,22 @@ def append_separated(old, new, sep: str = "|") -> Column:
 
 
 def epoch_seconds(col) -> Column:
-    """Epoch seconds of a timestamp (NTZ values are read as UTC wall time)."""
-    return F.unix_seconds(_c(col).cast("timestamp")).cast("int")
+    """Epoch seconds of a wall-clock (NTZ) timestamp, read as UTC whatever the
+    session time zone is (floor for times before the second ends)."""
+    c = _c(col).cast("timestamp_ntz")
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return F.timestamp_diff("SECOND", epoch, c).cast("int")
+
+
+def epoch_of(text: str) -> Column:
+    """Epoch seconds of a 'yyyy-MM-dd HH:mm:ss' wall-clock literal, as UTC."""
+    return epoch_seconds(F.lit(text).cast("timestamp_ntz"))
+
+
+def yearmonth_of_epoch(seconds) -> Column:
+    """yyyyMM (UTC) of epoch seconds, independent of the session time zone."""
+    day = F.date_from_unix_date(F.floor(_c(seconds) / F.lit(86400)).cast("int"))
+    return F.date_format(day, "yyyyMM").cast("int")
 
 
 def round_sim(col) -> Column:

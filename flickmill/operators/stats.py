@@ -40,7 +40,8 @@ def rate_more_movies(ratings: DataFrame) -> DataFrame:
 
 
 def yearmonth(ts_seconds) -> F.Column:
-    return F.date_format(F.timestamp_seconds(ts_seconds), "yyyyMM").cast("int")
+    from flickmill.functions.scalar import yearmonth_of_epoch
+    return yearmonth_of_epoch(ts_seconds)
 
 
 def rate_more_recently(ratings: DataFrame) -> DataFrame:

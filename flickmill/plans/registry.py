@@ -381,7 +381,7 @@ def delete_by_key(spark, d):
 @query
 def append_tags(spark, d):
     tags = ad.tags(spark, d)
-    cut = F.unix_timestamp(F.lit("2024-01-15 00:00:00"))
+    cut = fx.epoch_of("2024-01-15 00:00:00")
     docs = ad.content_items(spark, d).select("mid").join(
         stats.tags_per_movie(tags.where(F.col("timestamp") < cut)), "mid", "left")
     new = tags.where(F.col("timestamp") >= cut).join(
