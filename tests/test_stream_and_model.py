@@ -17,7 +17,9 @@ def test_stream_resumes_from_checkpoint(spark, sf_dir):
     """T4: a restarted query continues after the last committed batch and ends
     where one uninterrupted run ends."""
     src_all = R._stage_messages(spark, sf_dir, files=4)
-    files = sorted(f for f in os.listdir(src_all) if f.endswith(".parquet"))
+    # the file source replays files by modification time (the order written)
+    files = sorted((f for f in os.listdir(src_all) if f.endswith(".parquet")),
+                   key=lambda f: os.path.getmtime(os.path.join(src_all, f)))
     sims = R._content_sims(spark, sf_dir)
 
     def fresh_store():
