@@ -119,3 +119,18 @@ def test_candidates_never_seen_and_lists_bounded(spark, sf_dir):
     out = online.stream_recs_batch(ratings, sims).toPandas().sort_values(["uid", "rank"])
     for _, g in out.groupby("uid"):
         assert list(g["score"]) == sorted(g["score"], reverse=True)
+
+
+def test_light_user_member_bound_is_exact(spark):
+    """Large groups of identical items: the per-signature top list for light
+    users gives the same candidates as expanding every member."""
+    rnd = random.Random(11)
+    rows = [(m, f"m{m}", "x|y" if m < 60 else ("x|z" if m < 90 else "w|q|x")) for m in range(120)]
+    items = spark.createDataFrame(rows, "mid int, name string, genres string")
+    sims = similarity.content_similarity(items, 0.1)
+    rat = [(u, m, 3.0, i) for u in range(12) for i, m in enumerate(rnd.sample(range(120), rnd.randint(1, 6)))]
+    ratings = spark.createDataFrame(rat, "uid int, mid int, score double, timestamp int")
+    anchors = online.latest_anchor(ratings)
+    bounded = sorted(tuple(r) for r in online.unseen_similar(anchors, sims, ratings, 5, light=2).collect())
+    full = sorted(tuple(r) for r in online.unseen_similar(anchors, sims, ratings, 5, light=10 ** 9).collect())
+    assert bounded == full and len(full) > 0
