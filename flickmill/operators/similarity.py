@@ -166,8 +166,7 @@ def sparse_all_pairs(weights: DataFrame, theta: float, key: str = "sig") -> Data
          .withColumn("suf_sq", F.sum(F.col("u") * F.col("u")).over(rarest_last))
          .withColumn("suf_mw", F.sum(F.col("u") * F.col("maxw")).over(rarest_last))
          .withColumn("in_prefix", F.least(F.sqrt("suf_sq"), F.col("suf_mw")) >= F.lit(bound))
-         .select(key, "term", "w", "norm", "in_prefix")
-         .persist())
+         .select(key, "term", "w", "norm", "in_prefix"))
     prefix = v.where("in_prefix").select(key, "term")
     a = prefix.select(F.col(key).alias("s1"), "term")
     b = prefix.select(F.col(key).alias("s2"), "term")
