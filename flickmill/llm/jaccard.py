@@ -61,7 +61,7 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
 def paths(s: np.ndarray, threshold: float, runs: int) -> list[list[int]]:
     """Of each level, the nodes that a set goes through, then the node above each: [nodes, parents, nodes, parents, ...]."""
     out: list[list[int]] = []
-    limit = np.uint64(min(1.0, SPREAD / (threshold * max(1, len(s)))) * (2**64 - 1024))
+    limit = np.uint64(min(1.0, SPREAD / (threshold * max(1, len(s)))) * (2**64 - 2048))
     above = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     for _ in range(LEVELS):
         drawn = mix(s[None, :] ^ above[:, None])
@@ -183,7 +183,7 @@ def linked_classes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -
     texts = docs.join(lists, docs["doc_id"] == lists["rep"]).select("rep", "text", "copies", "at")
 
     def sets(piece: pa.RecordBatch) -> dict[str, pa.Array]:
-        return {"grams": pa.array([s.tobytes() for s in shingle_sets(piece.column(1), n)], pa.binary())}
+        return {"grams": pa.array([s.tobytes() for s in shingle_sets(piece.column("text"), n)], pa.binary())}
 
     known = with_columns(texts, sets, {"grams": T.BinaryType()}, ["rep", "copies", "at"], "text")
     here = known.withColumn("own", F.explode("at")).select("rep", "copies", "grams", F.transform("at", lambda x: x["node"]).alias("others"),

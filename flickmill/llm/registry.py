@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flickmill.llm import chat, decontaminate, packing
+from flickmill.llm import chat, decontaminate, jaccard, neighbours, packing, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen-path join of all documents' 5-word shingle sets at a similarity of 0.8: classes and numbers of links."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
+
+
 @query
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental rendering of all conversations and of conversation -7, whose texts hold control strings."""
@@ -30,6 +37,18 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.formatted(rows))
 
 
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of each vector whose id is divisible by 50, among all others, by a forest of projection trees."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level-wise doubling over all documents: words in 50-word windows that an earlier document has go."""
+    return substrings.deduplicated(table(spark, sf_dir, "documents"), window=50, with_text=False)
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Karmarkar-Karp packing of all documents into sequences of at most 1024 tokens."""
