@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flickmill.llm import chat, decontaminate, jaccard, neighbours, packing, substrings
+from flickmill.llm import chat, decontaminate, jaccard, lines, neighbours, packing, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_line_dedup": lines.SQL}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -60,3 +60,9 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     """Wu-Manber search of all documents for 10-word windows of the benchmark."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletion-neighbourhood join of all documents' lines within one word: later lines go, the earliest stays."""
+    return lines.deduplicated(table(spark, sf_dir, "documents"))
