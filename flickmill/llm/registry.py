@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flickmill.llm import chat, decontaminate, jaccard, lines, neighbours, packing, substrings
+from flickmill.llm import chat, decontaminate, jaccard, lines, neighbours, packing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op8_line_dedup": lines.SQL}
@@ -55,6 +55,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False)
 
 
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compression scores of all documents, learned from labels outside the held-out fold."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 @query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wu-Manber search of all documents for 10-word windows of the benchmark."""
