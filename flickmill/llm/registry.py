@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flickmill.llm import chat, decontaminate, jaccard, lines, neighbours, packing, quality, substrings
+from flickmill.llm import chat, decontaminate, jaccard, lines, neighbours, packing, pii, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op8_line_dedup": lines.SQL}
@@ -72,3 +72,15 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deletion-neighbourhood join of all documents' lines within one word: later lines go, the earliest stays."""
     return lines.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns and the randomness battery over all documents."""
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns and the semi-Markov field over all documents."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
