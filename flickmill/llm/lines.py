@@ -142,15 +142,15 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
 SQL = r"""
 WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
-lines AS (SELECT doc_id, i AS line, ls[i] AS content, list_filter(regexp_split_to_array(ls[i], '[\x09-\x0D\x20]+'), w -> w <> '') AS words
+lines AS (SELECT doc_id, i AS line, ls[i] AS content, list_filter(regexp_split_to_array(ls[i], '[\x09-\x0D\x20]+'), lambda w: w <> '') AS words
           FROM raw, unnest(range(1, len(ls) + 1)) AS u(i)),
-firsts AS (SELECT words, len(words) AS n, min(doc_id * 1000000 + line) AS at FROM lines WHERE len(words) >= 5 GROUP BY words),
-keyed AS (SELECT at, n - 1 AS l, p, list_concat(words[1:p - 1], words[p + 1:]) AS v FROM firsts, unnest(range(1, n + 1)) AS u(p) WHERE n >= 10
-          UNION ALL SELECT at, n, p, words FROM firsts, unnest(range(1, n + 2)) AS u(p) WHERE n >= 10),
-lows AS (SELECT l, p, hash(v) AS h, min(at) AS low FROM keyed GROUP BY l, p, hash(v)),
-near AS (SELECT DISTINCT at FROM keyed JOIN lows ON keyed.l = lows.l AND keyed.p = lows.p AND hash(keyed.v) = lows.h WHERE low < at),
-stay AS (SELECT at FROM firsts WHERE at NOT IN (SELECT at FROM near)),
-judged AS (SELECT lines.*, len(words) < 5 OR stay.at IS NOT NULL AS stays FROM lines LEFT JOIN stay ON doc_id * 1000000 + line = stay.at),
+firsts AS (SELECT words, len(words) AS n, min(doc_id * 1000000 + line) AS pos FROM lines WHERE len(words) >= 5 GROUP BY words),
+keyed AS (SELECT pos, n - 1 AS l, p, list_concat(words[1:p - 1], words[p + 1:]) AS v FROM firsts, unnest(range(1, n + 1)) AS u(p) WHERE n >= 10
+          UNION ALL SELECT pos, n, p, words FROM firsts, unnest(range(1, n + 2)) AS u(p) WHERE n >= 10),
+lows AS (SELECT l, p, hash(v) AS h, min(pos) AS low FROM keyed GROUP BY l, p, hash(v)),
+near AS (SELECT DISTINCT pos FROM keyed JOIN lows ON keyed.l = lows.l AND keyed.p = lows.p AND hash(keyed.v) = lows.h WHERE low < pos),
+stay AS (SELECT pos FROM firsts WHERE pos NOT IN (SELECT pos FROM near)),
+judged AS (SELECT lines.*, len(words) < 5 OR stay.pos IS NOT NULL AS stays FROM lines LEFT JOIN stay ON doc_id * 1000000 + line = stay.pos),
 made AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
                 coalesce(string_agg(content, chr(10) ORDER BY line) FILTER (stays), '') AS text FROM judged GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, made.text AS text FROM documents d LEFT JOIN made ON d.doc_id = made.doc_id
