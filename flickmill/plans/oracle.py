@@ -368,8 +368,7 @@ hits AS (
   GROUP BY q.qid, p.field, p.mid),
 best AS (SELECT qid, mid, round(max(s), 9) AS score FROM hits GROUP BY qid, mid)"""
 register("text_search", with_(INDEX) + """,
-queries AS (SELECT CAST(item_id AS INTEGER) AS qid,
-                   regexp_extract(text, '^\\s*(\\S+(\\s+\\S+){0,3})', 1) AS text FROM benchmark),
+queries AS (SELECT CAST(item_id AS INTEGER) AS qid, text FROM benchmark),
 qterms AS (SELECT DISTINCT qid, term FROM
            (SELECT qid, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM queries)
            WHERE term <> ''),""" + BM25 + """
@@ -410,17 +409,16 @@ register("user_top_n", with_(RATINGS) + """
 SELECT * FROM (SELECT uid, mid, score,
   CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank FROM ratings) t
 WHERE rank <= 20""")
-register("recs_to_lists", with_(CONTENT_SIMS) + """,
-top AS (SELECT * FROM (SELECT m1, m2, sim, row_number() OVER (PARTITION BY m1 ORDER BY sim DESC, m2) AS r
-                       FROM sims WHERE sim > 0.6) t WHERE r <= 20)
-SELECT m1, CAST(count(*) AS INTEGER) AS n,
-       string_agg(CAST(m2 AS VARCHAR) || ':' || CAST(sim AS VARCHAR), ',' ORDER BY sim DESC, m2) AS recs
-FROM top GROUP BY m1""")
-register("recs_top_n", with_(CONTENT_SIMS) + """
-SELECT m1, rank, mid, score FROM (
-  SELECT m1, m2 AS mid, sim AS score,
-         CAST(row_number() OVER (PARTITION BY m1 ORDER BY sim DESC, m2) AS INTEGER) AS rank
-  FROM sims WHERE sim > 0.6) t WHERE rank <= 5""")
+USER_TOP = """
+top AS (SELECT * FROM (SELECT uid, mid, score,
+          CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank FROM ratings) t
+        WHERE rank <= 20)"""
+register("recs_to_lists", with_(RATINGS) + "," + USER_TOP + """
+SELECT uid, CAST(count(*) AS INTEGER) AS n,
+       string_agg(CAST(mid AS VARCHAR) || ':' || CAST(CAST(round(score * 1000) AS BIGINT) AS VARCHAR), ',' ORDER BY rank) AS recs
+FROM top GROUP BY uid""")
+register("recs_top_n", with_(RATINGS) + "," + USER_TOP + """
+SELECT uid, rank, mid, score FROM top WHERE rank <= 5""")
 register("movie_cf_recs", with_(LATENT) + """
 SELECT key, mid, score, rank FROM (
   SELECT m1 AS key, m2 AS mid, sim AS score,
@@ -428,8 +426,7 @@ SELECT key, mid, score, rank FROM (
   FROM latent) t WHERE rank <= 5""")
 register("user_cf_recs", with_(*ALL_ONLINE) + "SELECT uid, mid, score, rank FROM stream WHERE rank <= 5")
 register("hits_to_recs", with_(INDEX) + """,
-queries AS (SELECT CAST(item_id AS INTEGER) AS qid,
-                   regexp_extract(text, '^\\s*(\\S+(\\s+\\S+){0,3})', 1) AS text FROM benchmark),
+queries AS (SELECT CAST(item_id AS INTEGER) AS qid, text FROM benchmark),
 qterms AS (SELECT DISTINCT qid, term FROM
            (SELECT qid, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM queries)
            WHERE term <> ''),""" + BM25 + """

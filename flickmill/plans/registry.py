@@ -424,7 +424,7 @@ def merge_preferences(spark, d):
 def _bench_queries(spark, d):
     b = ad.table(spark, d, "benchmark")
     return b.select(F.col("item_id").cast("int").alias("qid"),
-                    F.regexp_extract("text", r"^\s*(\S+(\s+\S+){0,3})", 1).alias("text"))
+                    "text")
 
 
 @query
@@ -523,26 +523,26 @@ def user_top_n(spark, d):
     return rank.user_top_n(ad.ratings(spark, d).select("uid", "mid", "score"), 20)
 
 
+def _user_lists(spark, d):
+    """A3 on the users' 20 best, the length that the user lists have."""
+    return rank.recs_to_lists(rank.user_top_n(ad.ratings(spark, d).select("uid", "mid", "score"), 20), "uid")
+
+
 @query
 def recs_to_lists(spark, d):
-    """A3 on the capped content lists; the list is shown as text for comparison."""
-    lists = rank.recs_to_lists(rank.similar_items_all(_content_sims(spark, d).edges(), 20)
-                               .select(F.col("m1").alias("mid_key"), F.col("m2").alias("mid"),
-                                       F.col("sim").alias("score")), "mid_key")
-    return lists.select(F.col("mid_key").alias("m1"), F.size("recs").alias("n"),
-                        F.array_join(F.transform("recs", lambda r: F.concat_ws(
-                            ":", r["mid"].cast("string"), r["score"].cast("string"))), ",")
-                        .alias("recs"))
+    """A3 on the user lists; the list is shown as text for comparison."""
+    return _user_lists(spark, d).select("uid", F.size("recs").alias("n"),
+                                        F.array_join(F.transform("recs", lambda r: F.concat_ws(
+                                            ":", r["mid"].cast("string"),
+                                            F.round(r["score"] * 1000).cast("long").cast("string"))), ",")
+                                        .alias("recs"))
 
 
 @query
 def recs_top_n(spark, d):
-    """W8 on the stored list form: explode each list, first 5."""
-    lists = rank.recs_to_lists(rank.similar_items_all(_content_sims(spark, d).edges(), 20)
-                               .select(F.col("m1").alias("mid_key"), F.col("m2").alias("mid"),
-                                       F.col("sim").alias("score")), "mid_key")
-    return rank.recs_top_n(rank.lists_to_long(lists, "mid_key"), "mid_key", 5) \
-        .select(F.col("mid_key").alias("m1"), "rank", "mid", "score")
+    """W8 on the stored user lists: explode each list, first 5."""
+    return rank.recs_top_n(rank.lists_to_long(_user_lists(spark, d), "uid"), "uid", 5) \
+        .select("uid", "rank", "mid", "score")
 
 
 @query
