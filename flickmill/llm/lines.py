@@ -28,7 +28,7 @@ _SPACE = "[\\x09-\\x0D\\x20]+"
 
 
 def line_words(line: Column) -> Column:
-    return F.filter(F.split(line, _SPACE), lambda w: w != "")
+    return F.array_remove(F.split(line, _SPACE), "")
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
