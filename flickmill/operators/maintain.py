@@ -68,12 +68,13 @@ def insert_users_if_absent(users: DataFrame, names: DataFrame) -> DataFrame:
     return users.select(*rows.columns).unionByName(rows)
 
 
-def merge_preferences(users: DataFrame, prefs: DataFrame) -> DataFrame:
+def merge_preferences(users: DataFrame, prefs: DataFrame, order_col: str | None = None) -> DataFrame:
     """Append the listed genres (comma separated, repeats kept) to the
     user's preferred genres and set first = false. ``prefs`` has
-    (username, genres, timestamp); several updates apply in time order."""
+    (username, genres, timestamp); several updates apply in order of (timestamp, order_col)."""
     from flickmill.functions.scalar import comma_list
-    item = F.struct(F.col("timestamp"), comma_list(F.col("genres")).alias("g"))
+    order = [F.col("timestamp")] + ([F.col(order_col)] if order_col else [])
+    item = F.struct(*order, comma_list(F.col("genres")).alias("g"))
     add = (prefs.groupBy("username")
            .agg(F.array_sort(F.collect_list(item)).alias("_l"))
            .select("username", F.flatten(F.transform("_l", lambda x: x["g"])).alias("added")))

@@ -27,12 +27,38 @@ from pyspark.sql import functions as F
 from flickmill.functions.scalar import SIM_DIGITS, bars_to_blanks, round_sim, tokenize
 
 
+#: Ids per slice when the members of a signature are numbered.
+ID_SLICE = 65536
+
+
 @dataclass
 class FactoredSims:
     """Similarity between items, grouped by identical vectors."""
 
-    members: DataFrame  # (mid int, sig int)
-    pairs: DataFrame    # (s1 int, s2 int, sim double), both directions, incl. (s, s)
+    members: DataFrame  # (mid int, sig int[, pos long])
+    pairs: DataFrame    # (s1 int, s2 int, sim double[, cum_before long]), both directions, incl. (s, s)
+
+    def placed(self) -> "FactoredSims":
+        """With each member's place by id in its signature (``pos``, from 1) and, per
+        pair, the number of members in signatures nearer to s1 (``cum_before``).
+
+        Places are counted per slice of ids and added up, so no task orders all
+        members of a large signature."""
+        if "pos" in self.members.columns:
+            return self
+        cut = self.members.withColumn("slice", F.floor(F.col("mid") / F.lit(ID_SLICE)))
+        sizes = cut.groupBy("sig", "slice").agg(F.count(F.lit(1)).alias("size"))
+        before = Window.partitionBy("sig").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("sig", "slice", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+        inside = Window.partitionBy("sig", "slice").orderBy("mid")
+        members = (cut.withColumn("row", F.row_number().over(inside)).join(starts, ["sig", "slice"])
+                   .select("mid", "sig", (F.col("start") + F.col("row")).alias("pos")))
+        totals = sizes.groupBy(F.col("sig").alias("s2")).agg(F.sum("size").alias("total"))
+        down = Window.partitionBy("s1").orderBy(F.col("sim").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        tied = Window.partitionBy("s1", "sim")
+        pairs = (self.pairs.join(totals, "s2")
+                 .select("s1", "s2", "sim", (F.sum("total").over(down) - F.sum("total").over(tied)).alias("cum_before")))
+        return FactoredSims(members, pairs)
 
     def edges(self) -> DataFrame:
         """Movie-level ordered pairs (m1, m2, sim), self pairs removed."""

@@ -337,10 +337,10 @@ SELECT CAST(CASE WHEN h_ >= 2147483648 THEN h_ - 4294967296 ELSE h_ END AS INTEG
 register("merge_preferences", with_(USERS) + """,
 prefs AS (
   SELECT printf('Customer#%09d', e.user_id) AS username, p.p_type || ',' || p.p_brand AS genres,
-         CAST(floor(epoch(e.ts)) AS BIGINT) * 1000000 + e.event_id AS ts
+         floor(epoch(e.ts)) AS ts, e.event_id
   FROM events e JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
   WHERE e.event_type = 'signup'),
-added AS (SELECT username, string_agg(genres, ',' ORDER BY ts) AS g FROM prefs GROUP BY username)
+added AS (SELECT username, string_agg(genres, ',' ORDER BY ts, event_id) AS g FROM prefs GROUP BY username)
 SELECT u.uid, u.username, CASE WHEN a.g IS NULL THEN u.first ELSE false END AS first, u."timestamp",
        CASE WHEN a.g IS NULL THEN array_to_string(u.prefGenres, '|')
             ELSE array_to_string(list_concat(u.prefGenres, string_split(a.g, ',')), '|') END AS prefs

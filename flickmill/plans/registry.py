@@ -7,6 +7,7 @@ DuckDB twins in ``flickmill.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from flickmill.functions import scalar as fx
 from flickmill.operators import lookup, rank, stats
 from flickmill.operators import online
 from flickmill.sources import adapters as ad
-from flickmill.sources import readers
+from flickmill.session import scratch_dir
+from flickmill.sources import readers, sinks
+from flickmill.streaming import stream as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -269,6 +272,18 @@ def _content_sims(spark, d, theta=0.6):
     return sim.content_similarity(ad.content_items(spark, d), theta)
 
 
+def _stored_sims(spark, d):
+    """The similarity table, written once and read by every use, as the recommender stores it."""
+    path = scratch_dir(spark, f"sims-{uuid.uuid4().hex}")
+    st.save_sims(_content_sims(spark, d), path)
+    return st.sims_reader(path)(spark)
+
+
+def _stored_ratings(spark, d):
+    """The rating table, written once and read by every use."""
+    return sinks.read_back(ad.ratings(spark, d), scratch_dir(spark, f"ratings-{uuid.uuid4().hex}"))
+
+
 @query
 def item_similarity_content(spark, d):
     return _content_sims(spark, d).edges()
@@ -281,7 +296,7 @@ def similar_items_all(spark, d):
 
 # ---- online scoring (batch twin of the streaming job) ---------------------
 def _anchors_and_recent(spark, d):
-    ratings = ad.ratings(spark, d)
+    ratings = _stored_ratings(spark, d)
     recent = online.recent_k_ratings(ratings, 20)
     anchors = recent.where(F.col("rank") == 1).select("uid", F.col("mid").alias("anchor"))
     return ratings, recent, anchors
@@ -290,14 +305,14 @@ def _anchors_and_recent(spark, d):
 @query
 def unseen_similar(spark, d):
     ratings, _, anchors = _anchors_and_recent(spark, d)
-    return online.unseen_similar(anchors, _content_sims(spark, d), ratings, 20) \
+    return online.unseen_similar(anchors, _stored_sims(spark, d), ratings, 20) \
         .select("uid", "anchor", "rank", "mid", "sim")
 
 
 @query
 def stream_priority(spark, d):
     ratings, recent, anchors = _anchors_and_recent(spark, d)
-    sims = _content_sims(spark, d)
+    sims = _stored_sims(spark, d)
     cands = online.unseen_similar(anchors, sims, ratings, 20)
     return online.stream_priority(cands, recent, sims, 0.7, 3.0)
 
@@ -305,7 +320,7 @@ def stream_priority(spark, d):
 @query
 def stream_recs_batch(spark, d):
     """Flagship: the streaming job's re-rank for every user at once."""
-    return online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+    return online.stream_recs_batch(_stored_ratings(spark, d), _stored_sims(spark, d))
 
 
 # ---- 2.9 latent similarity (dense) ----------------------------------------
@@ -326,13 +341,14 @@ def _genre_top(spark, d):
 
 def _hybrid_lists(spark, d):
     ratings, _, anchors = _anchors_and_recent(spark, d)
-    content = _content_sims(spark, d).edges()
+    sims = _stored_sims(spark, d)
+    content = sims.edges()
     latent = sim.item_similarity_latent(ad.latent_vectors(spark, d), 0.2, block_size=256)
     a = anchors.join(content.withColumnRenamed("m1", "anchor"), "anchor") \
         .select("uid", F.col("m2").alias("mid"), F.col("sim").alias("score"))
     b = anchors.join(latent.withColumnRenamed("m1", "anchor"), "anchor") \
         .select("uid", F.col("m2").alias("mid"), F.col("sim").alias("score"))
-    c = online.stream_recs_batch(ratings, _content_sims(spark, d)).select("uid", "mid", "score")
+    c = online.stream_recs_batch(ratings, sims).select("uid", "mid", "score")
     return [a, b, c]
 
 
@@ -354,7 +370,7 @@ def guess_recs(spark, d):
 @query
 def wish_recs(spark, d):
     """U3 with the streaming lists as the users' own lists."""
-    stream = online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+    stream = online.stream_recs_batch(_stored_ratings(spark, d), _stored_sims(spark, d))
     return blend.wish_recs(ad.users(spark, d), stream, _genre_top(spark, d), 10)
 
 
@@ -380,15 +396,11 @@ def delete_by_key(spark, d):
 
 @query
 def append_tags(spark, d):
-    tags = ad.tags(spark, d)
+    tags = ad.tag_events(spark, d)
     cut = fx.epoch_of("2024-01-15 00:00:00")
     docs = ad.content_items(spark, d).select("mid").join(
         stats.tags_per_movie(tags.where(F.col("timestamp") < cut)), "mid", "left")
-    new = tags.where(F.col("timestamp") >= cut).join(
-        ad.table(spark, d, "events").select(fx.epoch_seconds("ts").alias("timestamp"),
-                                            F.col("user_id").cast("int").alias("uid"), "event_id"),
-        ["uid", "timestamp"])
-    return maintain.append_tags(docs, new, "event_id").select("mid", "tags")
+    return maintain.append_tags(docs, tags.where(F.col("timestamp") >= cut), "event_id").select("mid", "tags")
 
 
 def _user_rows(users):
@@ -416,8 +428,8 @@ def merge_preferences(spark, d):
                       fx.epoch_seconds("ts").alias("timestamp"), "event_id")
              .join(p, "k")
              .select("username", F.concat_ws(",", "p_type", "p_brand").alias("genres"),
-                     (F.col("timestamp").cast("long") * 1000000 + F.col("event_id")).alias("timestamp")))
-    return _user_rows(maintain.merge_preferences(ad.users(spark, d), prefs))
+                     "timestamp", "event_id"))
+    return _user_rows(maintain.merge_preferences(ad.users(spark, d), prefs, "event_id"))
 
 
 # ---- 2.11 search -----------------------------------------------------------
@@ -449,13 +461,9 @@ def more_like_this(spark, d):
 # ---- 2.9 model ------------------------------------------------------------
 from flickmill.operators import model as mdl  # noqa: E402
 
-# Small rank for the registered fits: rank 200 on local cores is slow and the
-# query still exercises every step (see README).
-TEST_RANK = 10
-
 
 def _fit(spark, d):
-    return mdl.als_fit(ad.ratings(spark, d), rank=TEST_RANK, iters=5, reg=0.1, seed=7)
+    return mdl.als_fit(ad.ratings(spark, d), **mdl.LIVE, seed=7)
 
 
 @query
@@ -478,7 +486,7 @@ def item_similarity_als(spark, d):
 def predict_pairs(spark, d):
     ratings = ad.ratings(spark, d)
     train, test = mdl.split_ratings(ratings, 0.8, seed=7, by="hash")
-    m = mdl.als_fit(train, rank=TEST_RANK, iters=5, reg=0.1, seed=7)
+    m = mdl.als_fit(train, **mdl.LIVE, seed=7)
     return mdl.predict_pairs(m, test.select("uid", "mid", "score"))
 
 
@@ -508,8 +516,8 @@ def rmse(spark, d):
 
 @query
 def als_tune(spark, d):
-    """M5 + K5: the 4 x 3 grid of the recommender, at ranks scaled down for local runs."""
-    return mdl.als_tune(ad.ratings(spark, d), ranks=(5, 10, 20, 30), regs=mdl.TUNE_REGS, seed=7)
+    """M5 + K5: the 4 x 3 grid of the recommender."""
+    return mdl.als_tune(ad.ratings(spark, d), ranks=mdl.TUNE_RANKS, regs=mdl.TUNE_REGS, seed=7)
 
 
 @query
@@ -556,7 +564,7 @@ def movie_cf_recs(spark, d):
 @query
 def user_cf_recs(spark, d):
     """W10 by uid on the streaming lists."""
-    stream = online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+    stream = online.stream_recs_batch(_stored_ratings(spark, d), _stored_sims(spark, d))
     return rank.recs_top_n(stream.select("uid", "mid", "score"), "uid", 5)
 
 
@@ -569,10 +577,6 @@ def hits_to_recs(spark, d):
 
 
 # ---- 2.10 streaming (rows-only checks; the batch twin has SQL) --------------
-import uuid  # noqa: E402
-
-from flickmill.session import scratch_dir  # noqa: E402
-from flickmill.streaming import stream as st  # noqa: E402
 
 
 def _stage_messages(spark, d, files: int = 4) -> str:
@@ -655,7 +659,6 @@ def stream_recs(spark, d):
 
 
 # ---- 2.2 sinks --------------------------------------------------------------
-from flickmill.sources import sinks  # noqa: E402
 
 
 @query
@@ -684,7 +687,7 @@ def upsert_user_recs(spark, d):
     root = scratch_dir(spark, f"recs-{uuid.uuid4().hex}")
     stored = blend.cold_start_recs(ad.users(spark, d), _genre_top(spark, d), 10)
     sinks.write_version(stored, root, 1)
-    new = rank.recs_top_n(online.stream_recs_batch(ad.ratings(spark, d), _content_sims(spark, d))
+    new = rank.recs_top_n(online.stream_recs_batch(_stored_ratings(spark, d), _stored_sims(spark, d))
                           .select("uid", "mid", "score"), "uid", 10)
     cur = sinks.read_current(spark, root)
     sinks.write_version(sinks.upsert_user_recs(cur, new.select(*cur.columns)), root, 2)

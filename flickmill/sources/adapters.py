@@ -100,9 +100,11 @@ def content_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.split(F.col("p_name"), " ")).alias("genres"))
 
 
-def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags with the id of their event."""
     e = table(spark, sf_dir, "events")
     return e.select(
+        "event_id",
         F.col("user_id").cast("int").alias("uid"),
         F.get_json_object("props", "$.k").cast("int").alias("mid"),
         F.col("event_type").alias("tag"),
@@ -110,6 +112,10 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_events(spark, sf_dir).drop("event_id")
+
+
 def event_score(value) -> F.Column:
     return (F.ceil(F.least(value, F.lit(50.0)) / F.lit(5.0)) / F.lit(2.0)).cast("double")
 
@@ -136,9 +142,9 @@ def rating_log_lines(spark: SparkSession, sf_dir: str,
                       event_score(F.col("value")).cast("string"),
                       epoch_seconds(F.col("ts")).cast("string"))
     stamp = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss,SSS")
-    rating = F.concat(stamp, F.lit("   INFO --- [http-nio] business.rest.MovieRestApi   (line:   207)  :  "),
+    rating = F.concat(stamp, F.lit("   INFO --- [http-nio] ratings.service   (line:   1)  :  "),
                       F.lit(prefix + ":"), msg)
-    other = F.concat(stamp, F.lit("   INFO --- [http-nio] business.rest.UserRestApi   (line:   40)  :  "),
+    other = F.concat(stamp, F.lit("   INFO --- [http-nio] users.service   (line:   1)  :  "),
                      F.col("event_type"), F.lit(" "), F.col("event_id").cast("string"))
     return e.select(F.when(F.col("event_type") == "purchase", rating).otherwise(other).alias("value"),
                     F.col("event_id"))

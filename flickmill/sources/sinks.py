@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+def read_back(df: DataFrame, path: str) -> DataFrame:
+    """The frame, written as Parquet and read again: later uses scan the table and do not replay its plan."""
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_all(movies: DataFrame, ratings: DataFrame, tags: DataFrame, out: str,
              fmt: str = "parquet") -> dict[str, str]:
     """K2: drop and load the three base tables (overwrite is the drop)."""
@@ -47,8 +54,10 @@ def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
 def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
     """Newest committed version of a versioned table, or None when there is none."""
     try:
-        man = spark.read.parquet(os.path.join(root, "_manifest"))
-    except Exception:  # no manifest yet
+        man = spark.read.schema("version long").parquet(os.path.join(root, "_manifest"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     row = man.agg(F.max("version").alias("v")).first()
     if row is None or row["v"] is None:

@@ -24,9 +24,9 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from flickmill.operators.maintain import merge_ratings
@@ -53,10 +53,13 @@ def init_store(store: StreamStore, ratings: DataFrame) -> None:
 
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A batch-partitioned log; empty before its first batch. Any other read error is raised."""
     full = schema + ", epoch long"
     try:
         return spark.read.schema(full).parquet(path)
-    except Exception:  # nothing written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], full)
 
 
@@ -70,7 +73,8 @@ def rating_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = No
 
     Kafka: subscribe with ``subscribe=<topic>`` and ``kafka.bootstrap.servers``;
     it starts at the latest offset and resumes from the checkpoint. Files:
-    parquet files with (value, seq), or text files (seq from the file position)."""
+    parquet files with (value, seq), or text files (seq = the file's modification
+    time in microseconds; rows of one file and time stamp tie)."""
     if fmt == "kafka":
         r = spark.readStream.format("kafka").option("startingOffsets", starting_offsets)
         df = r.options(**options).load()
@@ -78,7 +82,7 @@ def rating_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = No
                          (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"))
     if fmt == "text":
         df = spark.readStream.options(**options).text(path)
-        return df.select("value", F.lit(None).cast("long").alias("seq"))
+        return df.select("value", F.unix_micros("_metadata.file_modification_time").alias("seq"))
     return spark.readStream.schema("value string, seq long").options(**options).format(fmt).load(path)
 
 
@@ -97,9 +101,10 @@ def process_batch(batch: DataFrame, epoch: int, store: StreamStore, sims_loader,
            .where(F.col("epoch") <= epoch).join(users, "uid", "left_semi"))
 
     seen = base.select("uid", "mid").unionByName(log.select("uid", "mid")).distinct()
-    history = (base.select("uid", "mid", "score", "timestamp", F.lit(-1).cast("long").alias("seq"))
-               .unionByName(log.select("uid", "mid", "score", "timestamp", "seq")))
-    order = [F.col("timestamp").desc(), F.col("seq").desc(), F.col("mid").asc()]
+    history = (base.select("uid", "mid", "score", "timestamp", F.lit(-1).cast("long").alias("epoch"),
+                           F.lit(-1).cast("long").alias("seq"))
+               .unionByName(log.select("uid", "mid", "score", "timestamp", "epoch", "seq")))
+    order = [F.col("timestamp").desc(), F.col("epoch").desc(), F.col("seq").desc(), F.col("mid").asc()]
     recent = top_n_per_group(history, ["uid"], order, k)
     anchors = (top_n_per_group(ev, ["uid"], order, 1)
                .select("uid", F.col("mid").alias("anchor")))
@@ -123,11 +128,11 @@ def current_stream_recs(spark: SparkSession, store: StreamStore) -> DataFrame:
 
 def compact_ratings(spark: SparkSession, store: StreamStore, out: str) -> DataFrame:
     """Fold the event log into a new base table (batch job): an existing pair
-    gets the newest score, a new pair is inserted."""
+    gets the newest score by (timestamp, epoch, seq), a new pair is inserted."""
     base = spark.read.parquet(store.path("ratings_base"))
     log = _read_log(spark, store.path("events"), EVENT_SCHEMA)
     changes = log.select("uid", "mid", "score", "timestamp",
-                         (F.col("epoch") * F.lit(1 << 40) + F.col("seq")).alias("order"))
+                         F.struct("epoch", "seq").alias("order"))
     merged = merge_ratings(base, changes, "order", halve=False)
     merged.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
@@ -188,7 +193,8 @@ def bridge_stream(spark: SparkSession, log_dir: str, out_dir: str, checkpoint: s
 
 
 def save_sims(sims, path: str) -> None:
-    """Materialise a factored similarity table for the stream to re-read."""
+    """Materialise a factored similarity table, with its places, for later jobs and the stream to re-read."""
+    sims = sims.placed()
     sims.members.write.mode("overwrite").parquet(os.path.join(path, "members"))
     sims.pairs.write.mode("overwrite").parquet(os.path.join(path, "pairs"))
 
@@ -201,6 +207,3 @@ def sims_reader(path: str):
         return FactoredSims(spark.read.parquet(os.path.join(path, "members")),
                             spark.read.parquet(os.path.join(path, "pairs")))
     return load
-
-
-EVENT_STRUCT = T.StructType([T.StructField("value", T.StringType()), T.StructField("seq", T.LongType())])

@@ -121,9 +121,8 @@ def test_candidates_never_seen_and_lists_bounded(spark, sf_dir):
         assert list(g["score"]) == sorted(g["score"], reverse=True)
 
 
-def test_light_user_member_bound_is_exact(spark):
-    """Large groups of identical items: the per-signature top list for light
-    users gives the same candidates as expanding every member."""
+def test_member_bound_is_exact(spark):
+    """Large groups of identical items: the bound on places gives the same candidates as all edges."""
     rnd = random.Random(11)
     rows = [(m, f"m{m}", "x|y" if m < 60 else ("x|z" if m < 90 else "w|q|x")) for m in range(120)]
     items = spark.createDataFrame(rows, "mid int, name string, genres string")
@@ -131,6 +130,17 @@ def test_light_user_member_bound_is_exact(spark):
     rat = [(u, m, 3.0, i) for u in range(12) for i, m in enumerate(rnd.sample(range(120), rnd.randint(1, 6)))]
     ratings = spark.createDataFrame(rat, "uid int, mid int, score double, timestamp int")
     anchors = online.latest_anchor(ratings)
-    bounded = sorted(tuple(r) for r in online.unseen_similar(anchors, sims, ratings, 5, light=2).collect())
-    full = sorted(tuple(r) for r in online.unseen_similar(anchors, sims, ratings, 5, light=10 ** 9).collect())
+    bounded = sorted(tuple(r) for r in online.unseen_similar(anchors, sims, ratings, 5)
+                     .select("uid", "anchor", "rank", "mid", "sim").collect())
+    rated = {}
+    for u, m, _, _ in rat:
+        rated.setdefault(u, set()).add(m)
+    edges = {}
+    for m1, m2, s in sims.edges().collect():
+        edges.setdefault(m1, []).append((-s, m2))
+    full = []
+    for u, anchor in anchors.collect():
+        best = sorted(e for e in edges.get(anchor, []) if e[1] not in rated[u])[:5]
+        full += [(u, anchor, i + 1, m, -s) for i, (s, m) in enumerate(best)]
+    full.sort()
     assert bounded == full and len(full) > 0
