@@ -14,7 +14,7 @@ Storage is append-only and keyed by the batch id (``epoch``):
 A replayed batch (after a failure) rewrites exactly its own partitions, so the
 sink is idempotent and the checkpoint gives exactly-once results. No batch
 rewrites a whole table; ``compact_ratings`` folds the event log into the base
-table as a batch job. Per batch only the rows of the batch's users are read
+table as a batch job. Per batch only the rows of the batch's users are kept
 (semi-joins), and the similarity table is re-read every batch, so a refreshed
 table is picked up without a restart.
 """
