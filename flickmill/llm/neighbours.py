@@ -4,13 +4,16 @@ searched through one shared priority queue, then exact reranking.
 The trees are fitted on a bounded sample (``SAMPLE`` vectors, the only thing that
 reaches the driver) and then index every vector. A query pops the node with the
 best margin over all trees, follows both sides of its plane and stops after
-``probes`` leaves. Equal vectors are one entry, so copies never fill a leaf, and
-a leaf with many entries is searched in blocks.
+``probes`` leaves. How many are enough is measured on each table: ``ASKED`` of its
+queries are compared with every entry, and the least number of leaves, from
+``LEAST`` on, that finds the share ``recall`` of their nearest is taken. Equal vectors are one entry, so
+copies never fill a leaf, and a leaf with many entries is searched in blocks.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +24,9 @@ from pyspark.sql import types as T
 
 from flickmill.llm.scratch import written
 
-#: Vectors that the trees are fitted on; entries of a leaf that are compared in one task.
-SAMPLE, BLOCK = 20_000, 4_096
+#: Vectors that the trees are fitted on; entries of a leaf that are compared in one task; queries that the number of leaves is
+#: measured on; leaves that a query visits at least, unless told otherwise.
+SAMPLE, BLOCK, ASKED, LEAST = 20_000, 4_096, 512, 160
 
 
 class Tree:
@@ -66,6 +70,19 @@ class Tree:
             at[on] = self.child[node, side]
         return -at - 1
 
+    def margins_of(self, q: np.ndarray) -> np.ndarray:
+        """For each query and leaf the margin by which ``search_leaves`` orders the leaves."""
+        m = q @ self.w.T - self.b
+        node, leaf = np.full((len(q), len(self.planes)), -np.inf), np.full((len(q), self.leaves), -np.inf)
+        for i, children in enumerate(self.children):  # a node stands before those below it
+            for c, side in zip(children, (m[:, i], -m[:, i])):
+                at = np.maximum(node[:, i], side)
+                if c < 0:
+                    leaf[:, -c - 1] = at
+                else:
+                    node[:, c] = at
+        return leaf
+
 
 def search_leaves(trees: list[Tree], q: np.ndarray, probes: int) -> list[tuple[int, int]]:
     """The (tree, leaf) that a query visits, best margin first; one queue over all trees."""
@@ -91,8 +108,7 @@ def unit(vectors: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-PLACES = T.StructType([T.StructField("entry", T.LongType()), T.StructField("vec", T.ArrayType(T.DoubleType())),
-                       T.StructField("tree", T.IntegerType()), T.StructField("leaf", T.IntegerType())])
+PLACES = T.StructType([T.StructField("entry", T.LongType()), T.StructField("tree", T.IntegerType()), T.StructField("leaf", T.IntegerType())])
 
 
 def placed(entries: DataFrame, shared, probes: int | None) -> DataFrame:
@@ -113,8 +129,8 @@ def placed(entries: DataFrame, shared, probes: int | None) -> DataFrame:
                 tree, leaf = np.array([p for f in found for p in f]).T
             for k in range(0, len(row), 20_000):
                 s = slice(k, k + 20_000)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[s])), batch.column(1).take(pa.array(row[s])),
-                                                  pa.array(tree[s], pa.int32()), pa.array(leaf[s], pa.int32())], names=PLACES.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[s])), pa.array(tree[s], pa.int32()), pa.array(leaf[s], pa.int32())],
+                                                 names=PLACES.names)
 
     return entries.select("entry", "vec").mapInArrow(run, PLACES)
 
@@ -148,8 +164,53 @@ def best_of(queries: pa.Table, entries: pa.Table, k: int) -> pa.Table:
     return pa.table(dict(zip(FOUND.names, cols)))
 
 
+def closest(entries: DataFrame, ids: np.ndarray, x: np.ndarray, k: int) -> DataFrame:
+    """(query, entry): each query's ``k`` nearest other entries, by comparison with all of them."""
+    shared = entries.sparkSession.sparkContext.broadcast((ids, x))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, x = shared.value
+        score, entry = np.full((len(x), 0), 0.0), np.zeros((len(x), 0), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                other = batch.column(0).to_numpy()
+                near = np.where(ids[:, None] == other[None, :], -np.inf, x @ unit(batch.column(1)).T)
+                score, entry = np.hstack([score, near]), np.hstack([entry, np.broadcast_to(other, near.shape)])
+                best = np.argpartition(-score, min(k, score.shape[1]) - 1, axis=1)[:, :k]
+                score, entry = np.take_along_axis(score, best, 1), np.take_along_axis(entry, best, 1)
+        i, j = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(entry[i, j]), pa.array(score[i, j])], names=FOUND.names)
+
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    found = entries.select("entry", "vec").mapInArrow(run, FOUND).withColumn("nth", F.row_number().over(best))
+    return found.where(F.col("nth") <= k).select("query", "entry")
+
+
+def enough_probes(entries: DataFrame, trees: list[Tree], k: int, recall: float, seed: int) -> int:
+    """The least number of leaves by which a sample of the queries finds the share ``recall`` of its ``k`` nearest entries."""
+    asked = entries.where("asked").select("entry", "vec").orderBy(F.xxhash64("entry", F.lit(seed + 1))).limit(ASKED).toArrow()
+    if not asked.num_rows:
+        return 1
+    ids, x = asked.column("entry").to_numpy(), unit(asked.column("vec").combine_chunks())
+    best = written(closest(entries, ids, x, k), "ann_closest")
+    true = entries.select("entry", "vec").join(F.broadcast(best), "entry").select("query", "vec").toArrow()
+    if not true.num_rows:
+        return 1
+    number = {q: i for i, q in enumerate(ids.tolist())}
+    of = np.array([number[q] for q in true.column("query").to_pylist()])
+    leaves = np.stack([t.leaf_of(unit(true.column("vec").combine_chunks())) for t in trees])
+    needed = np.zeros(len(of), np.int64)
+    for low in range(0, len(x), 64):
+        margins = [t.margins_of(x[low:low + 64]) for t in trees]
+        order = np.sort(np.concatenate(margins, axis=1), axis=1)
+        for r in np.flatnonzero((of >= low) & (of < low + 64)):
+            first = min(m[of[r] - low, leaf[r]] for m, leaf in zip(margins, leaves))
+            needed[r] = np.searchsorted(order[of[r] - low], first, "right")
+    return int(np.sort(needed)[math.ceil(recall * len(needed)) - 1])
+
+
 def nearest(vectors: DataFrame, queries, k: int = 5, key: str = "vec_id", vector: str = "embedding", trees: int = 12,
-            leaf_rows: int = 256, probes: int = 160, seed: int = 7) -> DataFrame:
+            leaf_rows: int = 256, probes: int | None = None, recall: float = 0.99, seed: int = 7) -> DataFrame:
     """The ``k`` nearest found by cosine of each row that the condition ``queries`` selects: query_id, rank (from 1),
     vec_id, score; ties go to the smaller id.
 
@@ -157,6 +218,9 @@ def nearest(vectors: DataFrame, queries, k: int = 5, key: str = "vec_id", vector
     non-finite components take no part; nor do vectors of another length than the most frequent one (ties: the
     longer). Repeated rows of one id and vector count once; ids with several vectors are ranked by their nearest.
     Other columns are not read. An empty table gives no rows.
+
+    Without ``probes``, each query visits as many leaves (``LEAST`` or more) as find the share ``recall`` of the true nearest
+    of a sample of ``ASKED`` queries (all of them, if there are fewer); the number grows with the table as its data asks for.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vec"), queries.alias("asked"))
@@ -182,7 +246,10 @@ def nearest(vectors: DataFrame, queries, k: int = 5, key: str = "vec_id", vector
     x = unit(sample.column("vec").combine_chunks())
     leaf = max(4, int(leaf_rows * len(x) / total))
     rnd = np.random.default_rng(seed)
-    shared = spark.sparkContext.broadcast([Tree(x, leaf, rnd) for _ in range(trees)])
+    forest = [Tree(x, leaf, rnd) for _ in range(trees)]
+    if probes is None:
+        probes = max(LEAST, enough_probes(entries, forest, k, recall, seed))
+    shared = spark.sparkContext.broadcast(forest)
 
     index = written(placed(entries, shared, None).select("tree", "leaf", "entry"), "ann_index")
     sizes = index.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))

@@ -59,3 +59,33 @@ def test_few_and_no_rows(spark):
     assert got(neighbours.nearest(df, F.expr("vec_id % 50 = 0"))) == {0: [(1, 0.0)]}
     assert neighbours.nearest(df.limit(0), F.expr("true")).count() == 0
     assert neighbours.nearest(df.where("vec_id = 0"), F.expr("true")).count() == 0
+
+
+def test_leaves_visited_grow_until_the_nearest_are_found(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(rnd.normal(size=(6_000, 32)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen, real = [], neighbours.enough_probes
+
+    def enough(entries, trees, *rest):
+        seen.append((real(entries, trees, *rest), sum(t.leaves for t in trees)))
+        return seen[-1][0]
+
+    monkeypatch.setattr(neighbours, "enough_probes", enough)
+    found = got(neighbours.nearest(df, F.expr("vec_id % 50 = 0"), leaf_rows=16))
+    want = brute(rows, lambda i: i % 50 == 0)
+    (probes, leaves), = seen
+    print("recall", recall(found, want), "leaves", probes, "of", leaves)
+    assert recall(found, want) >= 0.99
+    assert neighbours.LEAST < probes and probes * 4 < leaves
+
+
+def test_order_of_leaves_is_that_of_the_search():
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(500, 8))
+    trees = [neighbours.Tree(x, 6, rnd) for _ in range(3)]
+    margins = [t.margins_of(x[:20]) for t in trees]
+    for n in range(20):
+        visits = neighbours.search_leaves(trees, x[n], 10**6)
+        order = [margins[t][n, leaf] for t, leaf in visits]
+        assert order == sorted(order) and len(set(visits)) == sum(t.leaves for t in trees)
