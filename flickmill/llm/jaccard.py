@@ -236,6 +236,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
 
 
 def first_of_each(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The documents, with their columns as they are, but one of each class of near-duplicates: that with the least doc_id."""
+    """The documents, with their columns as they are, but one of each class of near-duplicates: that with the least doc_id.
+
+    Of rows that repeat one doc_id and text, null texts included, one stays. Rows with a null doc_id all stay.
+    """
     gone = near_duplicates(docs, n, threshold).where("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # only rows of ids that stand more than once are dealt out again
+    often = written(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard_repeated")
+    return kept.join(often, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(
+        kept.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*[F.col(f"`{c}`") for c in docs.columns]))

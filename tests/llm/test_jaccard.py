@@ -73,3 +73,12 @@ def test_edge_cases(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "6", "7", "None"]
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
     assert jaccard.first_of_each(df.limit(0)).count() == 0
+
+
+def test_repeated_rows_stay_once(spark):
+    rows = [(1, "a b c d e f")] * 50 + [(2, "a b c d e f")] * 3 + [(3, None)] * 2 + [(4, "")] * 2 + [(5, "other words")] + [(None, "a b")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = jaccard.first_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(((str(r.doc_id), r.text) for r in kept.collect()), key=str) == sorted(
+        [("1", "a b c d e f"), ("3", None), ("4", ""), ("5", "other words"), ("None", "a b"), ("None", "a b")], key=str)
