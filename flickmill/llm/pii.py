@@ -14,6 +14,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -209,22 +210,34 @@ def learn(examples: list[tuple[list[list[tuple[int, list[str]]]], set[tuple[int,
     return w
 
 
+def drawn(texts: list[str]) -> list[tuple[str, list[tuple[int, int]]]]:
+    """At most REGIONS regions by text, in turns over the texts: of each the region with the least hash, then the next."""
+    order = [sorted(regions(t), key=lambda r: (zlib.crc32(t[r[0]:r[1]].encode()), r)) for t in texts]
+    took = [0] * len(texts)
+    left, at = REGIONS, [i for i, here in enumerate(order) if here]
+    while left and at:
+        at = at[:left]
+        for i in at:
+            took[i] += 1
+        left -= len(at)
+        at = [i for i in at if took[i] < len(order[i])]
+    return [(t, here[:n]) for t, here, n in zip(texts, order, took) if n]
+
+
 def fit(docs: DataFrame, text: str = "text") -> Weights:
-    """Weights from at most REGIONS regions of at most SAMPLE texts of up to LONGEST characters, drawn by a hash of the text."""
+    """Weights from at most REGIONS regions, in turns over at most SAMPLE texts of up to LONGEST characters drawn by a hash of the text."""
     some = docs.select(F.col(f"`{text}`").alias("t")).where(F.length("t") <= LONGEST).where(F.col("t").rlike("[0-9@]")).distinct()
     rows = some.orderBy(F.xxhash64("t"), "t").limit(SAMPLE).collect()
     examples = []
-    for r in rows:
-        base = base_spans(r.t)
-        for a, b in regions(r.t):
-            toks = tokens(r.t, a, min(b, a + 400))
+    for t, here in drawn([r.t for r in rows]):
+        base = base_spans(t)
+        for a, b in here:
+            toks = tokens(t, a, min(b, a + 400))
             first, after = {s: i for i, (s, _) in enumerate(toks)}, {e: i + 1 for i, (_, e) in enumerate(toks)}
             gold = {(first[s], k, after[e]) for s, k, e in base if s in first and e in after}
-            found = candidates(r.t, toks)
-            known = {(i, j) for i, here in enumerate(found) for j, _ in here}
+            found = candidates(t, toks)
+            known = {(i, j) for i, from_i in enumerate(found) for j, _ in from_i}
             examples.append((found, {g for g in gold if (g[0], g[2]) in known}))
-            if len(examples) == REGIONS:
-                return learn(examples)
     return learn(examples)
 
 

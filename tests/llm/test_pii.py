@@ -74,3 +74,16 @@ def test_edge_cases(spark):
         if r.doc_id not in (3, 4):
             assert base(r) == brute(texts[r.doc_id] if r.doc_id is not None else "a@b.c")[0]
     assert pii.personal_data(df.limit(0)).count() == 0
+
+
+def test_regions_are_drawn_from_every_sampled_text(spark, monkeypatch):
+    dense = (" " + "word " * 40).join(f"+1 555 010 {n:04d}" for n in range(60))
+    texts = [dense + str(i) for i in range(3)] + [f"call +1 555 020 {n:04d} now" for n in range(30)]
+    monkeypatch.setattr(pii, "REGIONS", 45)
+    taken = pii.drawn(texts)
+    assert len(list(pii.regions(dense))) > 45
+    assert {t for t, _ in taken} == set(texts) and sum(len(r) for _, r in taken) == 45
+    read, real = [], pii.tokens
+    monkeypatch.setattr(pii, "tokens", lambda t, a, b: read.append(t) or real(t, a, b))
+    pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert set(read) == set(texts) and len(read) == 45
