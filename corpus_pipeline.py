@@ -36,7 +36,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 tokens."""
-    return packing.packed(docs, capacity=1024, with_ids=False)
+    return packing.packed(docs, capacity=1024, with_ids=False, special=True)
 
 
 STAGES = [("quality", keep_quality), ("line_dedup", dedup_lines), ("near_duplicates", dedup_documents),

@@ -130,11 +130,12 @@ _ARROW = {"ids": pa.binary()}
 
 
 def packed(docs: DataFrame, capacity: int = 1024, key: str = "doc_id", text: str = "text", with_ids: bool = True,
-           path: str | None = None, ranks: str | None = None) -> DataFrame:
+           path: str | None = None, ranks: str | None = None, special: bool = False) -> DataFrame:
     """One row per piece: the key, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for,
     ids (little-endian unsigned 32-bit).
 
-    A document is its text's ids and then id 0; a null or empty text is that id alone. Repeated rows are
+    A document is its text's ids and then id 0; a null or empty text is that id alone. The strings of special tokens in
+    a text are ordinary text or, with ``special``, those tokens, as by the tokenizer's default. Repeated rows are
     packed each; a null key stays null. Other input columns are not read. The sequences of a partition are
     made in one pass over it, with a block of documents in memory, and numbered from the partition's number
     times 2^33; nothing is shuffled.
@@ -172,7 +173,7 @@ def packed(docs: DataFrame, capacity: int = 1024, key: str = "doc_id", text: str
             for piece in pieces(batch, "words"):
                 kind = piece.column(0).type
                 for k, x in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    data = ids.of(x) + END
+                    data = ids.of(x, special) + END
                     items[n] = (k, data)
                     whole, over = divmod(len(data) // 4, capacity)
                     full += [[(n, w * capacity, capacity)] for w in range(whole)]

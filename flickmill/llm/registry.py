@@ -52,7 +52,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Karmarkar-Karp packing of all documents into sequences of at most 1024 tokens."""
-    return packing.packed(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False)
+    return packing.packed(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False, special=True)
 
 
 @query

@@ -4,6 +4,8 @@ A space between two other characters always begins a token, so a text is cut
 there and each piece (with its space) is tokenized once and then looked up.
 Pieces of Latin letters go through ``tiktoken``, all others through
 ``tokenizers``; both files hold one vocabulary and the tests compare the ids.
+The strings of special tokens in a text are ordinary text, unless asked otherwise:
+then a text that holds one is encoded whole, as the tokenizer does by default.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ class Ids(dict):
     def __init__(self, path: str, ranks: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks, "rb"))}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
@@ -53,10 +56,16 @@ class Ids(dict):
             self[piece] = ids
         return ids
 
-    def of(self, text: str | None) -> bytes:
-        """The ids of a text; null is empty."""
+    def of(self, text: str | None, special: bool = False) -> bytes:
+        """The ids of a text; null is empty. With ``special``, the strings of special tokens are those tokens."""
         if not text:
             return b""
+        if special and any(s in text for s in self.special):
+            self.tokenizer.encode_special_tokens = False
+            try:
+                return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            finally:
+                self.tokenizer.encode_special_tokens = True
         first, *rest = _CUT.split(text) if _ODD.search(text) else text.split(" ")
         return self.encode(first) + b"".join(map(self.__getitem__, rest))
 

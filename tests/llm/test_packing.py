@@ -4,6 +4,7 @@ import zlib
 
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from flickmill.llm import packing, registry, tokens
 
 
@@ -69,3 +70,20 @@ def test_words_kept_between_texts_change_no_id():
     for text in ["a  b", "x \n b\n c   d  ", "don't  stop\x1c x \x85 y z", "\xa0 q  r", "it's 'll 12 34ab  ", "Größe ñandú ça", "ünï 漢字 🙂 ok", "a " * 50]:
         for _ in range(2):
             assert ids.of(text) == array.array("I", ids.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def test_queries_encode_special_strings_as_the_tokenizer_does(spark, tmp_path):
+    plain = Tokenizer.from_file(tokens.default_path())
+    texts = {1: "a <|endoftext|> b", 2: "<|endoftext|>", 3: "x<|endoftext|><|endoftext|>  y\nz", 4: "no such <|endoftext| > here", 5: "漢字<|endoftext|>"}
+    df = spark.createDataFrame([(k, v) for k, v in texts.items()], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {k: plain.encode(v, add_special_tokens=False).ids + [0] for k, v in texts.items()}
+    assert 50256 in want[1] and 50256 not in want[4]
+    for out in (registry.QUERIES["op5_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, df, str(tmp_path))):
+        got = {r.doc_id: (r.doc_tokens, r.length, r.ids_crc32) for r in out.collect() if r.doc_tokens == r.length}
+        pieces = out.groupBy("doc_id").count().where("count > 1").count()
+        assert len(got) + pieces == len(texts) and got
+        assert all(got[k] == (len(want[k]), len(want[k]), zlib.crc32(array.array("I", want[k]).tobytes())) for k in got)
+        assert {r.doc_id: r.doc_tokens for r in out.collect()} == {k: len(v) for k, v in want.items()}
+    ids = tokens.Ids(tokens.default_path(), tokens.default_ranks())
+    assert all(ids.of(v, True) == array.array("I", plain.encode(v, add_special_tokens=False).ids).tobytes() for v in texts.values())
