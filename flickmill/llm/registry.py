@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flickmill.llm import chat, decontaminate, jaccard, lines, neighbours, packing, pii, quality, secrets, substrings
+from flickmill.llm import chat, decontaminate, jaccard, lines, manifest, neighbours, packing, pii, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op8_line_dedup": lines.SQL}
+SQL: dict[str, str] = {"op8_line_dedup": lines.SQL, "op11_merkle_manifest": manifest.SQL}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -84,3 +84,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patterns and the semi-Markov field over all documents."""
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by source, and every row's proof, with every second text tampered with."""
+    return manifest.digests(table(spark, sf_dir, "documents"))
