@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flickmill.llm import chat, decontaminate, jaccard, lines, manifest, neighbours, packing, pii, quality, secrets, substrings
+from flickmill.llm import chat, decontaminate, jaccard, lines, manifest, neighbours, packing, pii, prefixes, quality, secrets, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op8_line_dedup": lines.SQL, "op11_merkle_manifest": manifest.SQL}
+SQL: dict[str, str] = {"op8_line_dedup": lines.SQL, "op11_merkle_manifest": manifest.SQL, "op13_prefix_trie": prefixes.SQL}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -90,3 +90,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents by source, and every row's proof, with every second text tampered with."""
     return manifest.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Convolutional scores of all documents, learned from labels outside the held-out fold."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.5)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, their beginnings exchanged within each five ids."""
+    return prefixes.spliced_trie(table(spark, sf_dir, "conversations"))
