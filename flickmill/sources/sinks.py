@@ -43,16 +43,19 @@ def load_all(movies: DataFrame, ratings: DataFrame, tags: DataFrame, out: str,
 
 def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
     """Write ``df`` as a new immutable version of the table at ``root``."""
-    spark = df.sparkSession
     v = int(version if version is not None else time.time_ns() // 1000)
     df.write.mode("overwrite").parquet(os.path.join(root, f"v={v}"))
-    spark.createDataFrame([(v,)], "version long").write.mode("append").parquet(
-        os.path.join(root, "_manifest"))
+    commit_version(df.sparkSession, root, v)
     return v
 
 
-def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """Newest committed version of a versioned table, or None when there is none."""
+def commit_version(spark: SparkSession, root: str, version: int) -> None:
+    """Make a version, written in full before, the one that readers of ``root`` take."""
+    spark.createDataFrame([(version,)], "version long").write.mode("append").parquet(os.path.join(root, "_manifest"))
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Number of the newest committed version below ``root``, or None when there is none."""
     try:
         man = spark.read.schema("version long").parquet(os.path.join(root, "_manifest"))
     except AnalysisException as e:
@@ -60,12 +63,18 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
             raise
         return None
     row = man.agg(F.max("version").alias("v")).first()
-    if row is None or row["v"] is None:
+    return None if row is None else row["v"]
+
+
+def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """Newest committed version of a versioned table, or None when there is none."""
+    version = current_version(spark, root)
+    if version is None:
         return None
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(os.path.join(root, f"v={row['v']}"))
+    return r.parquet(os.path.join(root, f"v={version}"))
 
 
 def upsert_user_recs(stored: DataFrame, new: DataFrame, key: str = "uid") -> DataFrame:
