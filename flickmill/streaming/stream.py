@@ -6,22 +6,27 @@ The job of the recommender, per micro-batch (every 4 s):
   seen = all rated movies (events included) -> unseen similar candidates ->
   scores -> the user's list is replaced (an empty list replaces too).
 
-Storage is append-only and keyed by the batch id (``epoch``):
-  events/epoch=E       parsed events of batch E
-  stream_recs/epoch=E  the new lists of the users of batch E (a row with a
-                       null mid marks an empty list)
-  rejects/epoch=E      messages that did not parse
+Storage (``StreamStore``) is dealt by user into ``buckets`` folders, so a batch
+reads the folders of its own users only:
+  base/v=V/{pairs,recent,recs}/bucket=B   all up to some batch: the rated pairs,
+                                          each user's newest K events, the lists
+  events/epoch=E/bucket=B                 parsed events of batch E
+  stream_recs/epoch=E                     the new lists of the users of batch E (a
+                                          row with a null mid marks an empty list)
+  rejects/epoch=E                         messages that did not parse
 A replayed batch (after a failure) rewrites exactly its own partitions, so the
 sink is idempotent and the checkpoint gives exactly-once results. No batch
-rewrites a whole table; ``compact_ratings`` folds the event log into the base
-table as a batch job. Per batch only the rows of the batch's users are kept
-(semi-joins), and the similarity table is re-read every batch, so a refreshed
-table is picked up without a restart.
+rewrites a whole table. ``compact`` folds batches into a new version of the base
+and swaps it in by one manifest row; folders that the version before had already
+folded are then removed, so readers that started before the swap still find
+theirs. The stream calls it every ``compact_every`` batches. The similarity table
+is re-read every batch, so a refreshed table is picked up without a restart.
 """
 
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,42 +34,97 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from flickmill.operators.maintain import merge_ratings
 from flickmill.operators.online import stream_priority, unseen_similar
 from flickmill.operators.rank import top_n_per_group
 from flickmill.sources.readers import extract_rating_log, parse_rating_events
+from flickmill.sources.sinks import commit_version, current_version
 
 EVENT_SCHEMA = "uid int, mid int, score double, timestamp int, seq long"
 RECS_SCHEMA = "uid int, mid int, score double"
+#: The order of a user's events, newest first.
+NEWEST = ["timestamp", "epoch", "seq"]
 
 
 @dataclass
 class StreamStore:
+    """``buckets`` folders by user and the ``keep`` newest events of each; both are fixed when the store is made."""
     root: str
+    buckets: int = 64
+    keep: int = 20
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
 
+@dataclass
+class Base:
+    """The current base: its version, the last batch folded into it, and its tables."""
+    version: int
+    upto: int
+    pairs: DataFrame
+    recent: DataFrame
+    recs: DataFrame
+
+
+def _bucket(store: StreamStore) -> F.Column:
+    return F.pmod(F.xxhash64("uid"), F.lit(store.buckets)).cast("int")
+
+
+def _newest(events: DataFrame, k: int) -> DataFrame:
+    return top_n_per_group(events, ["uid"], [F.col(c).desc() for c in NEWEST] + [F.col("mid").asc()], k)
+
+
 def init_store(store: StreamStore, ratings: DataFrame) -> None:
-    """Base ratings table the stream starts from."""
-    ratings.select("uid", "mid", "score", "timestamp").write.mode("overwrite").parquet(
-        store.path("ratings_base"))
+    """Base tables the stream starts from."""
+    spark = ratings.sparkSession
+    none = F.lit(-1).cast("long")
+    events = ratings.select("uid", "mid", "score", "timestamp", none.alias("epoch"), none.alias("seq"))
+    _write_base(store, spark, -1, ratings.select("uid", "mid", "score", "timestamp"), _newest(events, store.keep).drop("rank"),
+                spark.createDataFrame([], RECS_SCHEMA + ", epoch long"))
+
+
+def _write_base(store: StreamStore, spark: SparkSession, upto: int, pairs: DataFrame, recent: DataFrame, recs: DataFrame) -> int:
+    version = time.time_ns() // 1000
+    path = store.path(f"base/v={version}")
+    for name, df in (("pairs", pairs), ("recent", recent), ("recs", recs)):
+        df.withColumn("bucket", _bucket(store)).repartitionByRange("bucket", "uid", "mid").write.partitionBy("bucket").parquet(os.path.join(path, name))
+    spark.createDataFrame([(upto,)], "upto long").coalesce(1).write.parquet(os.path.join(path, "about"))
+    commit_version(spark, store.path("base"), version)
+    return version
+
+
+def read_base(spark: SparkSession, store: StreamStore) -> Base:
+    version = current_version(spark, store.path("base"))
+    if version is None:
+        raise ValueError(f"no store at {store.root}")
+    path = store.path(f"base/v={version}")
+    schemas = {"pairs": "uid int, mid int, score double, timestamp int", "recent": "uid int, mid int, score double, timestamp int, epoch long, seq long",
+               "recs": RECS_SCHEMA + ", epoch long"}
+    tables = {t: spark.read.schema(s + ", bucket int").parquet(os.path.join(path, t)) for t, s in schemas.items()}
+    return Base(version, spark.read.parquet(os.path.join(path, "about")).first()["upto"], **tables)
 
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A batch-partitioned log; empty before its first batch. Any other read error is raised."""
-    full = schema + ", epoch long"
     try:
-        return spark.read.schema(full).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return spark.createDataFrame([], schema)
+
+
+def _events(spark: SparkSession, store: StreamStore) -> DataFrame:
+    return _read_log(spark, store.path("events"), EVENT_SCHEMA + ", epoch long, bucket int")
 
 
-def _write_partition(df: DataFrame, path: str, epoch: int) -> None:
-    df.write.mode("overwrite").parquet(os.path.join(path, f"epoch={epoch}"))
+def _lists(spark: SparkSession, store: StreamStore) -> DataFrame:
+    return _read_log(spark, store.path("stream_recs"), RECS_SCHEMA + ", epoch long")
+
+
+def _write_partition(df: DataFrame, path: str, epoch: int, by: str | None = None) -> None:
+    w = df.write.mode("overwrite")
+    (w.partitionBy(by) if by else w).parquet(os.path.join(path, f"epoch={epoch}"))
 
 
 def rating_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
@@ -90,24 +150,21 @@ def process_batch(batch: DataFrame, epoch: int, store: StreamStore, sims_loader,
                   k: int = 20, n: int = 20, min_sim: float = 0.7, like_above: float = 3.0) -> None:
     """One micro-batch, all of its users at once."""
     spark = batch.sparkSession
-    good, bad = parse_rating_events(batch.select("value", "seq"), mode="reject")
+    if k > store.keep:
+        raise ValueError(f"the store keeps {store.keep} events of each user, not {k}")
+    held = batch.select("value", "seq").persist()  # parsed for both outputs, read from the source once
+    good, bad = parse_rating_events(held, mode="reject")
     _write_partition(bad, store.path("rejects"), epoch)
-    _write_partition(good.select("uid", "mid", "score", "timestamp", "seq"), store.path("events"), epoch)
+    _write_partition(good.select("uid", "mid", "score", "timestamp", "seq", _bucket(store).alias("bucket"))
+                     .repartitionByRange("bucket", "uid", "mid"), store.path("events"), epoch, "bucket")
+    held.unpersist()
 
-    ev = _read_log(spark, store.path("events"), EVENT_SCHEMA).where(F.col("epoch") == epoch)
+    ev = spark.read.schema(EVENT_SCHEMA + ", bucket int").parquet(os.path.join(store.path("events"), f"epoch={epoch}"))
+    ev = ev.withColumn("epoch", F.lit(epoch).cast("long"))
     users = ev.select("uid").distinct()
-    base = spark.read.parquet(store.path("ratings_base")).join(users, "uid", "left_semi")
-    log = (_read_log(spark, store.path("events"), EVENT_SCHEMA)
-           .where(F.col("epoch") <= epoch).join(users, "uid", "left_semi"))
-
-    seen = base.select("uid", "mid").unionByName(log.select("uid", "mid")).distinct()
-    history = (base.select("uid", "mid", "score", "timestamp", F.lit(-1).cast("long").alias("epoch"),
-                           F.lit(-1).cast("long").alias("seq"))
-               .unionByName(log.select("uid", "mid", "score", "timestamp", "epoch", "seq")))
-    order = [F.col("timestamp").desc(), F.col("epoch").desc(), F.col("seq").desc(), F.col("mid").asc()]
-    recent = top_n_per_group(history, ["uid"], order, k)
-    anchors = (top_n_per_group(ev, ["uid"], order, 1)
-               .select("uid", F.col("mid").alias("anchor")))
+    seen, history = user_history(spark, store, ev, epoch)
+    recent = _newest(history, k)
+    anchors = _newest(ev.select(*history.columns), 1).select("uid", F.col("mid").alias("anchor"))
 
     sims = sims_loader(spark)
     cands = unseen_similar(anchors, sims, seen, n)
@@ -116,34 +173,94 @@ def process_batch(batch: DataFrame, epoch: int, store: StreamStore, sims_loader,
     _write_partition(out, store.path("stream_recs"), epoch)
 
 
+def user_history(spark: SparkSession, store: StreamStore, ev: DataFrame, epoch: int) -> tuple[DataFrame, DataFrame]:
+    """Of the users of the events ``ev`` of batch ``epoch``: rated pairs (uid, mid), and events (the newest ``keep`` of each
+    at least). Only the folders of their buckets are read, of the base and of the batches that it does not hold yet."""
+    buckets = [r.bucket for r in ev.select("bucket").distinct().collect()]  # at most as many numbers as there are folders
+    own = F.col("bucket").isin(buckets) if buckets else F.lit(False)
+    users = ev.select("uid").distinct()
+    base = read_base(spark, store)
+    log = _events(spark, store).where((F.col("epoch") > base.upto) & (F.col("epoch") <= epoch) & own).join(users, "uid", "left_semi")
+    pairs = base.pairs.where(own).join(users, "uid", "left_semi")
+    old = base.recent.where(own).join(users, "uid", "left_semi")
+    columns = ["uid", "mid", "score", "timestamp", "epoch", "seq"]
+    return pairs.select("uid", "mid").unionByName(log.select("uid", "mid")).distinct(), old.select(*columns).unionByName(log.select(*columns))
+
+
 def current_stream_recs(spark: SparkSession, store: StreamStore) -> DataFrame:
     """StreamRecs as of the last batch: each user's newest list. (uid, rank, mid, score)."""
-    log = _read_log(spark, store.path("stream_recs"), RECS_SCHEMA)
-    last = log.groupBy("uid").agg(F.max("epoch").alias("epoch"))
-    rows = log.join(last, ["uid", "epoch"]).where(F.col("mid").isNotNull())
+    rows = _newest_lists(spark, store, read_base(spark, store)).where(F.col("mid").isNotNull())
     return (top_n_per_group(rows.select("uid", "mid", "score"), ["uid"],
                             [F.col("score").desc(), F.col("mid").asc()], None)
             .select("uid", "rank", "mid", "score"))
 
 
-def compact_ratings(spark: SparkSession, store: StreamStore, out: str) -> DataFrame:
-    """Fold the event log into a new base table (batch job): an existing pair
-    gets the newest score by (timestamp, epoch, seq), a new pair is inserted."""
-    base = spark.read.parquet(store.path("ratings_base"))
-    log = _read_log(spark, store.path("events"), EVENT_SCHEMA)
-    changes = log.select("uid", "mid", "score", "timestamp",
-                         F.struct("epoch", "seq").alias("order"))
-    merged = merge_ratings(base, changes, "order", halve=False)
-    merged.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+def _newest_lists(spark: SparkSession, store: StreamStore, base: Base, upto: int | None = None) -> DataFrame:
+    new = _lists(spark, store).where(F.col("epoch") > base.upto)
+    new = new if upto is None else new.where(F.col("epoch") <= upto)
+    log = base.recs.drop("bucket").unionByName(new)
+    last = log.groupBy("uid").agg(F.max("epoch").alias("epoch"))
+    return log.join(last, ["uid", "epoch"]).select("uid", "mid", "score", "epoch")
+
+
+def current_ratings(spark: SparkSession, store: StreamStore) -> DataFrame:
+    """The rating table with all events so far: a pair has the score of its event that arrived last, and the time it was
+    first rated. (uid, mid, score, timestamp)."""
+    base = read_base(spark, store)
+    return _merged(base.pairs, _events(spark, store).where(F.col("epoch") > base.upto))
+
+
+def _merged(pairs: DataFrame, log: DataFrame) -> DataFrame:
+    """In the order of arrival, so that it makes no difference how many batches are folded at once."""
+    arrival = F.struct("epoch", "seq", "timestamp")
+    new = log.groupBy("uid", "mid").agg(F.max_by("score", arrival).alias("new_score"), F.min_by("timestamp", arrival).alias("new_time"))
+    both = pairs.select("uid", "mid", "score", "timestamp").join(new, ["uid", "mid"], "full_outer")
+    return both.select("uid", "mid", F.coalesce("new_score", "score").alias("score"), F.coalesce("timestamp", "new_time").alias("timestamp"))
+
+
+def compact(spark: SparkSession, store: StreamStore, upto: int) -> int:
+    """Fold the batches up to ``upto`` into a new base version, make it current, and remove the folders that the version
+    before no longer needed. Nothing of what readers see changes. Returns the version.
+
+    A run that dies before the swap leaves an unlisted folder and the store as it was; a batch replayed after the swap
+    writes folders that are already folded and are not read again."""
+    base = read_base(spark, store)
+    if upto <= base.upto:
+        return base.version
+    log = _events(spark, store).where((F.col("epoch") > base.upto) & (F.col("epoch") <= upto))
+    columns = ["uid", "mid", "score", "timestamp", "epoch", "seq"]
+    recent = _newest(base.recent.select(*columns).unionByName(log.select(*columns)), store.keep).drop("rank")
+    version = _write_base(store, spark, upto, _merged(base.pairs, log), recent, _newest_lists(spark, store, base, upto))
+    _remove(spark, store.path("base"), "v=", lambda v: v < base.version)
+    for name in ("events", "stream_recs"):
+        _remove(spark, store.path(name), "epoch=", lambda e: e <= base.upto)
+    return version
+
+
+def _remove(spark: SparkSession, path: str, prefix: str, old) -> None:
+    """Delete the numbered folders below ``path`` that are ``old``, through the file system that holds them."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(root):
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith(prefix) and old(int(name[len(prefix):])):
+                fs.delete(status.getPath(), True)
 
 
 def run_stream(source: DataFrame, store: StreamStore, sims_loader, checkpoint: str,
                trigger: str | None = "4 seconds", available_now: bool = False,
-               k: int = 20, n: int = 20):
-    """Start the streaming job; returns the StreamingQuery."""
+               k: int = 20, n: int = 20, compact_every: int = 100):
+    """Start the streaming job; returns the StreamingQuery. Every ``compact_every``-th batch (0: none) is followed by a
+    compaction, in the same thread, so no batch runs beside it."""
+    def run(df: DataFrame, epoch: int) -> None:
+        process_batch(df, epoch, store, sims_loader, k, n)
+        if compact_every and (epoch + 1) % compact_every == 0:
+            compact(df.sparkSession, store, epoch)
+
     w = (source.writeStream
-         .foreachBatch(lambda df, eid: process_batch(df, eid, store, sims_loader, k, n))
+         .foreachBatch(run)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
@@ -159,12 +276,10 @@ def recent_state(events: DataFrame, k: int = 20) -> DataFrame:
 
     def fn(key, pdfs, state):
         cols = ["mid", "score", "timestamp", "seq"]
-        if state.exists:
-            old = pd.DataFrame(dict(zip(cols, state.get)))
-        else:
-            old = pd.DataFrame({c: [] for c in cols})
-        allrows = pd.concat([old] + [p[cols] for p in pdfs], ignore_index=True)
-        top = allrows.sort_values(["timestamp", "seq"], ascending=False, kind="mergesort").head(k)
+        top = pd.DataFrame(dict(zip(cols, state.get)) if state.exists else {c: [] for c in cols})
+        for chunk in pdfs:  # k rows and one Arrow chunk at a time, however many events the user has
+            both = pd.concat([top, chunk[cols]], ignore_index=True) if len(top) else chunk[cols]
+            top = both.sort_values(["timestamp", "seq"], ascending=False, kind="mergesort").head(k)
         state.update((top["mid"].astype("int64").tolist(), top["score"].astype("float64").tolist(),
                       top["timestamp"].astype("int64").tolist(), top["seq"].astype("int64").tolist()))
         yield pd.DataFrame({"uid": [int(key[0])],
@@ -192,18 +307,22 @@ def bridge_stream(spark: SparkSession, log_dir: str, out_dir: str, checkpoint: s
     return w.start()
 
 
-def save_sims(sims, path: str) -> None:
-    """Materialise a factored similarity table, with its places, for later jobs and the stream to re-read."""
+def save_sims(sims, root: str) -> int:
+    """Write a factored similarity table, with its places, as a new version below ``root`` and make it the current one."""
     sims = sims.placed()
-    sims.members.write.mode("overwrite").parquet(os.path.join(path, "members"))
-    sims.pairs.write.mode("overwrite").parquet(os.path.join(path, "pairs"))
+    version = time.time_ns() // 1000
+    sims.members.write.parquet(os.path.join(root, f"v={version}", "members"))
+    sims.pairs.write.parquet(os.path.join(root, f"v={version}", "pairs"))
+    commit_version(sims.members.sparkSession, root, version)
+    return version
 
 
-def sims_reader(path: str):
-    """T5: a loader that re-reads the similarity table (called every batch)."""
+def sims_reader(root: str):
+    """T5: a loader of the current similarity table (called every batch)."""
     from flickmill.operators.similarity import FactoredSims
 
     def load(spark):
+        path = os.path.join(root, f"v={current_version(spark, root)}")
         return FactoredSims(spark.read.parquet(os.path.join(path, "members")),
                             spark.read.parquet(os.path.join(path, "pairs")))
     return load
