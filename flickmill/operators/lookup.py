@@ -59,6 +59,16 @@ def movies_with_avg(movies: DataFrame, averages: DataFrame) -> DataFrame:
             .withColumn("score", F.coalesce(F.col("score"), F.lit(0.0))))
 
 
-def my_rated_movies(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """The movies each user rated, with the user's own score."""
-    return ratings.select("uid", "mid", "score").join(movies, "mid")
+def my_rated_movies(ratings: DataFrame, movies: DataFrame, averages: DataFrame | None = None,
+                    order: list[str] | None = None) -> DataFrame:
+    """The movies each user rated, one row for each pair, with the user's own score.
+
+    Of a pair that was rated again, the last one in ``order`` counts (without an order the highest score, so that the
+    result doesn't depend on how rows are read). A null score is replaced by the movie's average of ``averages``
+    (mid, avg), or 0.0 where it has none."""
+    last = F.max_by("score", F.struct(*order)) if order else F.max("score")
+    own = ratings.groupBy("uid", "mid").agg(last.alias("score"))
+    if averages is not None:
+        own = (own.join(averages.select("mid", "avg"), "mid", "left")
+               .select("uid", "mid", F.coalesce("score", "avg", F.lit(0.0)).alias("score")))
+    return own.join(movies, "mid")

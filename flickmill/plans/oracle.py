@@ -258,6 +258,28 @@ cold AS (
 STREAM = """
 stream AS (SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank,
                   mid, score FROM scored)"""
+LIKE_LISTS = """
+m_fld AS (SELECT mid, 'name' AS field, p_name AS body FROM items JOIN part ON p_partkey = mid
+          UNION ALL SELECT mid, 'genres' AS field, genres AS body FROM items),
+m_toks AS (SELECT field, mid, unnest(regexp_split_to_array(lower(body), '[^\\p{L}\\p{N}]+')) AS term FROM m_fld),
+m_post AS (SELECT field, mid, term, count(*) AS tf FROM m_toks WHERE term <> '' GROUP BY ALL),
+m_lens AS (SELECT field, mid, count(*) FILTER (WHERE term <> '') AS dl FROM m_toks GROUP BY ALL),
+m_avgdl AS (SELECT field, avg(dl) AS avgdl FROM m_lens GROUP BY field),
+m_st AS (SELECT field, term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM m_post, ndocs GROUP BY field, term, n),
+m_seeds AS (SELECT DISTINCT anchor AS mid FROM anchors),
+m_terms AS (SELECT qid, term FROM (
+  SELECT t.mid AS qid, t.term, row_number() OVER (PARTITION BY t.mid ORDER BY round(t.tf * i.idf, 9) DESC, t.term) AS r
+  FROM (SELECT mid, term, sum(tf) AS tf FROM m_post JOIN m_seeds USING (mid) GROUP BY mid, term) t
+  JOIN (SELECT term, max(idf) AS idf FROM m_st GROUP BY term) i USING (term)) x WHERE r <= 25),
+m_hits AS (
+  SELECT q.qid, p.field, p.mid, sum(s.idf * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / a.avgdl))) AS s
+  FROM m_terms q JOIN m_post p USING (term) JOIN m_st s ON s.field = p.field AND s.term = p.term
+  JOIN m_lens l ON l.field = p.field AND l.mid = p.mid JOIN m_avgdl a ON a.field = p.field
+  WHERE p.mid <> q.qid GROUP BY q.qid, p.field, p.mid),
+like_lists AS (
+  SELECT qid, mid, score FROM (
+    SELECT qid, mid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, mid) AS r
+    FROM (SELECT qid, mid, round(max(s), 9) AS score FROM m_hits GROUP BY qid, mid) b) t WHERE r <= 10)"""
 HYBRID = """
 lists AS (
   SELECT uid, mid, score, 0 AS src FROM (
@@ -265,10 +287,7 @@ lists AS (
            row_number() OVER (PARTITION BY a.uid ORDER BY s.sim DESC, s.m2) AS r
     FROM anchors a JOIN sims s ON s.m1 = a.anchor AND s.sim > 0.6) x WHERE r <= 10
   UNION ALL
-  SELECT uid, mid, score, 1 AS src FROM (
-    SELECT a.uid, l.m2 AS mid, l.sim AS score,
-           row_number() OVER (PARTITION BY a.uid ORDER BY l.sim DESC, l.m2) AS r
-    FROM anchors a JOIN latent l ON l.m1 = a.anchor) x WHERE r <= 10
+  SELECT a.uid, m.mid, m.score, 1 AS src FROM anchors a JOIN like_lists m ON m.qid = a.anchor
   UNION ALL
   SELECT uid, mid, score, 2 AS src FROM stream WHERE rank <= 10),
 weighted AS (
@@ -281,8 +300,8 @@ hybrid AS (
 ALL_ONLINE = (RATINGS, RECENT, CONTENT_SIMS, ONLINE, STREAM)
 register("cold_start_recs", with_(MOVIES, RATINGS, AVERAGES, GENRE_TOP, USERS, COLD) +
          "SELECT uid, rank, mid, score FROM cold")
-register("hybrid_recs", with_(*ALL_ONLINE, LATENT, HYBRID) + "SELECT uid, rank, mid, score, src FROM hybrid")
-register("guess_recs", with_(*ALL_ONLINE, LATENT, HYBRID, MOVIES, AVERAGES, GENRE_TOP, USERS, COLD) + """
+register("hybrid_recs", with_(*ALL_ONLINE, LIKE_LISTS, HYBRID) + "SELECT uid, rank, mid, score, src FROM hybrid")
+register("guess_recs", with_(*ALL_ONLINE, LIKE_LISTS, HYBRID, MOVIES, AVERAGES, GENRE_TOP, USERS, COLD) + """
 SELECT uid, rank, mid, score FROM hybrid
 UNION ALL
 SELECT uid, rank, mid, score FROM cold WHERE uid NOT IN (SELECT uid FROM hybrid)""")
@@ -445,10 +464,10 @@ SELECT uid, rank, mid, score FROM (
          CAST(ceil(least(value, 50.0) / 5.0) / 2.0 AS DOUBLE) AS score,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY floor(epoch(ts)) DESC, event_id DESC) AS INTEGER) AS rank
   FROM events) t WHERE rank <= 20""")
-register("stream_recs", with_(RATINGS, CONTENT_SIMS) + """,
+STREAM_LISTS = """,
 ev AS (SELECT CAST(user_id AS INTEGER) AS uid, CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
               CAST(ceil(least(value, 50.0) / 5.0) / 2.0 AS DOUBLE) AS score,
-              CAST(floor(epoch(ts)) AS INTEGER) AS "timestamp", event_id AS seq FROM events),
+              CAST(floor(epoch(ts)) AS INTEGER) AS "timestamp", event_id AS seq, day(ts) AS day FROM events),
 hist AS (SELECT uid, mid, score, "timestamp", -1 AS seq FROM ratings WHERE uid IN (SELECT uid FROM ev)
          UNION ALL SELECT uid, mid, score, "timestamp", seq FROM ev),
 recent AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, seq DESC, mid) AS rank
@@ -461,19 +480,24 @@ cands AS (
   SELECT * FROM (
     SELECT a.uid, s.m2 AS mid, s.sim,
            row_number() OVER (PARTITION BY a.uid ORDER BY s.sim DESC, s.m2) AS rank
-    FROM anchors a JOIN sims s ON s.m1 = a.anchor AND s.sim > 0.6
+    FROM anchors a JOIN sims s ON s.m1 = a.anchor AND s.sim > greatest(0.6, {cut})
     WHERE NOT EXISTS (SELECT 1 FROM seen r WHERE r.uid = a.uid AND r.mid = s.m2)) t
   WHERE rank <= 20),
 scored AS (
-  SELECT c.uid, c.mid,
+  SELECT a.uid, a.mid,
          round(avg(s.sim * r.score)
                + log10(greatest(count(*) FILTER (WHERE r.score > 3), 1))
                - log10(greatest(count(*) FILTER (WHERE r.score <= 3), 1)), 6) AS score
-  FROM cands c JOIN recent r ON r.uid = c.uid
-  JOIN sims s ON s.m1 = c.mid AND s.m2 = r.mid AND s.sim > 0.7
-  GROUP BY c.uid, c.mid)
+  FROM cands a JOIN recent r ON r.uid = a.uid
+  JOIN sims s ON s.m1 = a.mid AND s.m2 = r.mid AND s.sim > greatest(0.7, {cut})
+  GROUP BY a.uid, a.mid)
 SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank, mid, score
-FROM scored""")
+FROM scored"""
+register("stream_recs", with_(RATINGS, CONTENT_SIMS) + STREAM_LISTS.format(cut="0.0"))
+register("stream_offsets", SQL["stream_recs"])
+# users with an event in the second half were scored with the table cut at 0.75
+register("similarity_refresh", with_(RATINGS, CONTENT_SIMS) + STREAM_LISTS.format(
+    cut="CASE WHEN (SELECT max(day) FROM ev WHERE ev.uid = a.uid) >= 16 THEN 0.75 ELSE 0.0 END"))
 register("write_table", with_(RATINGS) + "SELECT mid, count(*) AS count FROM ratings GROUP BY mid")
 register("drop_and_load", with_(MOVIES) + "SELECT * FROM movies")
 register("upsert_user_recs", with_(*ALL_ONLINE, MOVIES, AVERAGES, GENRE_TOP, USERS, COLD) + """
@@ -489,3 +513,19 @@ WITH v AS (SELECT CAST(vec_id AS INTEGER) AS mid, CAST(embedding AS DOUBLE[]) AS
 SELECT a.mid, round(list_dot_product(a.f, b.f), 6) AS dot, round(sqrt(list_dot_product(a.f, a.f)), 6) AS norm,
        round(list_dot_product(a.f, b.f) / (sqrt(list_dot_product(a.f, a.f)) * sqrt(list_dot_product(b.f, b.f))), 6) AS cosine
 FROM v a JOIN v b ON b.mid = a.mid + 1""")
+register("split_ratings", with_(RATINGS) + """
+SELECT uid, mid, score, "timestamp",
+       CASE WHEN CAST('0x' || substring(md5(concat_ws(':', uid, mid, 7)), 1, 7) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part
+FROM ratings""")
+GRID = """
+parts AS (SELECT *, CAST('0x' || substring(md5(concat_ws(':', uid, mid, 7)), 1, 7) AS BIGINT) % 100 < 80 AS train FROM ratings),
+sums AS (SELECT mid, sum(score) AS s, count(*) AS n FROM parts WHERE train GROUP BY mid),
+grid AS (
+  SELECT damping, round(sqrt(avg(pow(p.score - (coalesce(s, 0.0) + damping * overall) / (coalesce(n, 0) + damping), 2))), 6) AS rmse
+  FROM parts p LEFT JOIN sums USING (mid), (SELECT avg(score) AS overall FROM parts WHERE train) o,
+       (SELECT unnest([0.01, 0.1, 1.0])::DOUBLE AS damping) d
+  WHERE NOT train GROUP BY damping)"""
+register("best_params_report", with_(RATINGS, GRID) + "SELECT damping, rmse FROM grid")
+register("best_damping", with_(RATINGS, GRID) + "SELECT damping, rmse FROM grid ORDER BY rmse, damping LIMIT 1")
+register("positive_scores", with_(RATINGS, AVERAGES) + """
+SELECT mid, pred FROM (SELECT mid, round("avg" - (SELECT round(avg(score), 6) FROM ratings), 6) AS pred FROM averages) t WHERE pred > 0""")

@@ -132,7 +132,10 @@ def movies_with_avg(spark, d):
 
 @query
 def my_rated_movies(spark, d):
-    return (lookup.my_rated_movies(ad.ratings(spark, d), ad.movies(spark, d, with_issue=False))
+    raw = ad.raw_ratings(spark, d)
+    order = ["o_orderdate", "l_orderkey", "l_linenumber", "l_quantity"]
+    averages = stats.average_movies(ad.ratings(spark, d))
+    return (lookup.my_rated_movies(raw, ad.movies(spark, d, with_issue=False), averages, order)
             .select("uid", "mid", "score", "name", "genres"))
 
 
@@ -342,12 +345,13 @@ def _genre_top(spark, d):
 def _hybrid_lists(spark, d):
     ratings, _, anchors = _anchors_and_recent(spark, d)
     sims = _stored_sims(spark, d)
-    content = sims.edges()
-    latent = sim.item_similarity_latent(ad.latent_vectors(spark, d), 0.2, block_size=256)
-    a = anchors.join(content.withColumnRenamed("m1", "anchor"), "anchor") \
-        .select("uid", F.col("m2").alias("mid"), F.col("sim").alias("score"))
-    b = anchors.join(latent.withColumnRenamed("m1", "anchor"), "anchor") \
-        .select("uid", F.col("m2").alias("mid"), F.col("sim").alias("score"))
+    a = online.most_similar(anchors, sims, 10)
+    # documents like the anchor, from the stored search index; each anchor is searched once, however many users have it
+    index = search.build_index(ad.content_items(spark, d), ("name", "genres"), by_term=False)
+    seeds = anchors.select(F.col("anchor").alias("qid"), F.col("anchor").alias("mid")).distinct()
+    hits = search.top_hits(index, search.seed_terms(index, seeds, 25), 10, skip=seeds)
+    like = rank.top_n_per_group(hits, ["qid"], rank.by_score(), 10)
+    b = anchors.join(like.select(F.col("qid").alias("anchor"), "mid", "score"), "anchor").select("uid", "mid", "score")
     c = online.stream_recs_batch(ratings, sims).select("uid", "mid", "score")
     return [a, b, c]
 
@@ -502,7 +506,7 @@ def predict_all(spark, d):
 
 @query
 def split_ratings(spark, d):
-    train, test = mdl.split_ratings(ad.ratings(spark, d), 0.8, seed=7)
+    train, test = mdl.split_ratings(ad.ratings(spark, d), 0.8, seed=7, by="hash")
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
@@ -658,6 +662,42 @@ def stream_recs(spark, d):
     return st.current_stream_recs(spark, store)
 
 
+def _stage_slice(spark, d, path: str, i: int, files: int = 4) -> None:
+    """Slice i of ``files`` of the rating messages by day, added to the folder (as many files as its scan has splits)."""
+    msgs = ad.rating_event_lines(spark, d).select("value", F.col("event_id").alias("seq"), "ts")
+    day = F.dayofmonth("ts")
+    msgs.where((day >= 1 + 31 * i // files) & (day < 1 + 31 * (i + 1) // files)).select("value", "seq").write.mode("append").parquet(path)
+
+
+def _run_in_two(spark, d, between) -> DataFrame:
+    """The streaming job over the first half of the messages, ended; then ``between`` (store), the second half, and the job
+    started again from its checkpoint."""
+    store = st.StreamStore(scratch_dir(spark, f"store-{uuid.uuid4().hex}"))
+    st.init_store(store, ad.ratings(spark, d))
+    st.save_sims(_content_sims(spark, d), store.path("sims"))
+    for half in (0, 1):
+        for i in (2 * half, 2 * half + 1):
+            _stage_slice(spark, d, store.path("messages"), i)
+        q = st.run_stream(st.rating_stream(spark, "parquet", store.path("messages")), store, st.sims_reader(store.path("sims")),
+                          store.path("ckpt"), available_now=True, compact_every=1)
+        q.awaitTermination()
+        if not half:
+            between(store)
+    return st.current_stream_recs(spark, store)
+
+
+@query
+def stream_offsets(spark, d):
+    """T4: a job that ended and starts again goes on behind its last batch; each batch is folded into the base."""
+    return _run_in_two(spark, d, lambda store: None)
+
+
+@query
+def similarity_refresh(spark, d):
+    """T5: a new similarity table (cut 0.75) is swapped in between two batches; lists made after it follow it."""
+    return _run_in_two(spark, d, lambda store: st.save_sims(_content_sims(spark, d, 0.75), store.path("sims")))
+
+
 # ---- 2.2 sinks --------------------------------------------------------------
 
 
@@ -702,8 +742,24 @@ def search_docs(spark, d):
 
 @query
 def best_params_report(spark, d):
-    """K5: all tuning settings, best first."""
-    return als_tune(spark, d)
+    """K5 on a given predictor (damped movie means): all settings with their error, stored and read back."""
+    train, test = mdl.split_ratings(ad.ratings(spark, d), 0.8, seed=7, by="hash")
+    return sinks.read_back(mdl.damped_mean_grid(train, test), scratch_dir(spark, f"report-{uuid.uuid4().hex}"))
+
+
+@query
+def best_damping(spark, d):
+    """A13 on that table: the setting with the least error."""
+    return mdl.best_params(best_params_report(spark, d))
+
+
+@query
+def positive_scores(spark, d):
+    """P3 on a given prediction table: a movie's mean above the overall one, positive ones only."""
+    ratings = ad.ratings(spark, d)
+    overall = ratings.agg(F.round(F.avg("score"), 6).alias("overall"))  # one row
+    pred = stats.average_movies(ratings).join(F.broadcast(overall)).select("mid", F.round(F.col("avg") - F.col("overall"), 6).alias("pred"))
+    return mdl.positive_predictions(pred)
 
 
 @query

@@ -41,15 +41,17 @@ from flickmill.sources.sinks import commit_version, current_version
 
 EVENT_SCHEMA = "uid int, mid int, score double, timestamp int, seq long"
 RECS_SCHEMA = "uid int, mid int, score double"
+PAIR_SCHEMA = "uid int, mid int, score double, timestamp int"
 #: The order of a user's events, newest first.
 NEWEST = ["timestamp", "epoch", "seq"]
 
 
 @dataclass
 class StreamStore:
-    """``buckets`` folders by user and the ``keep`` newest events of each; both are fixed when the store is made."""
+    """``buckets`` folders by user (many on a cluster: a batch reads those of its users) and the ``keep`` newest events of
+    each; both are fixed when the store is made."""
     root: str
-    buckets: int = 64
+    buckets: int = 16
     keep: int = 20
 
     def path(self, name: str) -> str:
@@ -58,12 +60,26 @@ class StreamStore:
 
 @dataclass
 class Base:
-    """The current base: its version, the last batch folded into it, and its tables."""
+    """The current base: its version, the last batch folded into it, and its tables (listed when asked for)."""
+    spark: SparkSession
+    path: str
     version: int
     upto: int
-    pairs: DataFrame
-    recent: DataFrame
-    recs: DataFrame
+
+    @property
+    def pairs(self) -> DataFrame:
+        return self._table("pairs", PAIR_SCHEMA)
+
+    @property
+    def recent(self) -> DataFrame:
+        return self._table("recent", PAIR_SCHEMA + ", epoch long, seq long")
+
+    @property
+    def recs(self) -> DataFrame:
+        return self._table("recs", RECS_SCHEMA + ", epoch long")
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema + ", bucket int").parquet(os.path.join(self.path, name))
 
 
 def _bucket(store: StreamStore) -> F.Column:
@@ -78,16 +94,25 @@ def init_store(store: StreamStore, ratings: DataFrame) -> None:
     """Base tables the stream starts from."""
     spark = ratings.sparkSession
     none = F.lit(-1).cast("long")
-    events = ratings.select("uid", "mid", "score", "timestamp", none.alias("epoch"), none.alias("seq"))
-    _write_base(store, spark, -1, ratings.select("uid", "mid", "score", "timestamp"), _newest(events, store.keep).drop("rank"),
-                spark.createDataFrame([], RECS_SCHEMA + ", epoch long"))
 
+    def recent(pairs: DataFrame) -> DataFrame:
+        return _newest(pairs.select("uid", "mid", "score", "timestamp", none.alias("epoch"), none.alias("seq")), store.keep).drop("rank")
 
-def _write_base(store: StreamStore, spark: SparkSession, upto: int, pairs: DataFrame, recent: DataFrame, recs: DataFrame) -> int:
+    _write_base(store, spark, -1, ratings.select("uid", "mid", "score", "timestamp"), recent, spark.createDataFrame([], RECS_SCHEMA + ", epoch long"))
+
+
+def _write_base(store: StreamStore, spark: SparkSession, upto: int, pairs: DataFrame, recent, recs: DataFrame) -> int:
+    """``recent`` is made of the written pairs, or given."""
     version = time.time_ns() // 1000
     path = store.path(f"base/v={version}")
-    for name, df in (("pairs", pairs), ("recent", recent), ("recs", recs)):
-        df.withColumn("bucket", _bucket(store)).repartitionByRange("bucket", "uid", "mid").write.partitionBy("bucket").parquet(os.path.join(path, name))
+
+    def write(name: str, df: DataFrame) -> None:
+        # rebalance: a large folder is written by several tasks, small ones share one
+        df.withColumn("bucket", _bucket(store)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(os.path.join(path, name))
+
+    write("pairs", pairs)
+    write("recent", recent(Base(spark, path, version, upto).pairs) if callable(recent) else recent)
+    write("recs", recs)
     spark.createDataFrame([(upto,)], "upto long").coalesce(1).write.parquet(os.path.join(path, "about"))
     commit_version(spark, store.path("base"), version)
     return version
@@ -98,10 +123,7 @@ def read_base(spark: SparkSession, store: StreamStore) -> Base:
     if version is None:
         raise ValueError(f"no store at {store.root}")
     path = store.path(f"base/v={version}")
-    schemas = {"pairs": "uid int, mid int, score double, timestamp int", "recent": "uid int, mid int, score double, timestamp int, epoch long, seq long",
-               "recs": RECS_SCHEMA + ", epoch long"}
-    tables = {t: spark.read.schema(s + ", bucket int").parquet(os.path.join(path, t)) for t, s in schemas.items()}
-    return Base(version, spark.read.parquet(os.path.join(path, "about")).first()["upto"], **tables)
+    return Base(spark, path, version, spark.read.schema("upto long").parquet(os.path.join(path, "about")).first()["upto"])
 
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -156,7 +178,7 @@ def process_batch(batch: DataFrame, epoch: int, store: StreamStore, sims_loader,
     good, bad = parse_rating_events(held, mode="reject")
     _write_partition(bad, store.path("rejects"), epoch)
     _write_partition(good.select("uid", "mid", "score", "timestamp", "seq", _bucket(store).alias("bucket"))
-                     .repartitionByRange("bucket", "uid", "mid"), store.path("events"), epoch, "bucket")
+                     .hint("rebalance", "bucket"), store.path("events"), epoch, "bucket")
     held.unpersist()
 
     ev = spark.read.schema(EVENT_SCHEMA + ", bucket int").parquet(os.path.join(store.path("events"), f"epoch={epoch}"))
