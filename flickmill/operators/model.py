@@ -9,13 +9,15 @@ fit are cut through the checkpoint folder of the session
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flickmill.functions.scalar import SCORE_DIGITS
+from flickmill.functions.scalar import SCORE_DIGITS, dot
 from flickmill.session import ensure_checkpoint_dir
 
 # The tuning grid and the live model setting.
@@ -65,12 +67,43 @@ def als_user_recs(model: ALSModel, n: int = 20) -> DataFrame:
             .where((F.col("score") > 0) & ~F.isnan("score")))
 
 
+def user_item_grid(users: DataFrame, items: DataFrame, block_size: int = 1024) -> DataFrame:
+    """The product of every user's with every item's factors. ``users`` is (uid, features), ``items`` (mid, features).
+    (uid, mid, pred).
+
+    Either side is hashed into blocks of about ``block_size`` vectors and a block of one meets a block of the other in one
+    task, which streams the product a few users at a time: no row holds a user's full list, and no task more than two
+    blocks. The result itself is users x items rows; with few pairs wanted, use ``predict_given``."""
+    u, i = _blocks(users, "uid", block_size), _blocks(items, "mid", block_size)
+    nu, ni = u[1], i[1]
+    left = u[0].withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(ni - 1)))).withColumnRenamed("block", "p")
+    right = i[0].withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(nu - 1)))).withColumnRenamed("block", "q")
+
+    def product(key, a, b):
+        if not len(a) or not len(b):
+            return pd.DataFrame({"uid": [], "mid": [], "pred": []})
+        scores = np.stack(a["features"].to_numpy()) @ np.stack(b["features"].to_numpy()).T
+        return pd.DataFrame({"uid": np.repeat(a["uid"].to_numpy(), len(b)), "mid": np.tile(b["mid"].to_numpy(), len(a)), "pred": scores.ravel()})
+
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((users, "uid"), (items, "mid"))]
+    return left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(product, f"uid {kinds[0]}, mid {kinds[1]}, pred double")
+
+
+def _blocks(factors: DataFrame, key: str, block_size: int) -> tuple[DataFrame, int]:
+    n = max(1, -(-factors.count() // block_size))
+    features = F.transform("features", lambda x: x.cast("double")).alias("features")
+    return factors.select(key, features, F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("block")), n
+
+
+def predict_given(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """J4 on given factors: the product for the given (uid, mid) pairs; unknown ids are dropped. (uid, mid, pred)."""
+    both = pairs.join(users.select("uid", F.col("features").alias("a")), "uid").join(items.select("mid", F.col("features").alias("b")), "mid")
+    return both.select("uid", "mid", dot("a", "b").alias("pred"))
+
+
 def predict_all(model: ALSModel) -> DataFrame:
     """M2: a prediction for every (user, item) pair of the model (u x i rows)."""
-    n_items = model.itemFactors.count()
-    return (model.recommendForAllUsers(int(n_items))
-            .select("uid", F.explode("recommendations").alias("r"))
-            .select("uid", F.col("r.mid").alias("mid"), F.col("r.rating").cast("double").alias("pred")))
+    return user_item_grid(model.userFactors.select(F.col("id").alias("uid"), "features"), model.itemFactors.select(F.col("id").alias("mid"), "features"))
 
 
 def item_factors(model: ALSModel) -> DataFrame:

@@ -162,6 +162,10 @@ def sparse_signatures(items: DataFrame, text_col: str = "genres", bars: bool = T
     return members, sig_tf, n_docs
 
 
+#: Postings of one prefix term that a block holds, about.
+PREFIX_BLOCK = 512
+
+
 def sparse_weights(sig_tf: DataFrame, n_docs) -> DataFrame:
     """(sig, term, w, df) with IDF over items (df weighted by item count)."""
     df = (sig_tf.groupBy("term").agg(F.sum("n_items").alias("df"))
@@ -192,11 +196,18 @@ def sparse_all_pairs(weights: DataFrame, theta: float, key: str = "sig") -> Data
          .withColumn("suf_sq", F.sum(F.col("u") * F.col("u")).over(rarest_last))
          .withColumn("suf_mw", F.sum(F.col("u") * F.col("maxw")).over(rarest_last))
          .withColumn("in_prefix", F.least(F.sqrt("suf_sq"), F.col("suf_mw")) >= F.lit(bound))
-         .select(key, "term", "w", "norm", "in_prefix"))
-    prefix = v.where("in_prefix").select(key, "term")
-    a = prefix.select(F.col(key).alias("s1"), "term")
-    b = prefix.select(F.col(key).alias("s2"), "term")
-    cand = a.join(b, "term").where(F.col("s1") < F.col("s2")).select("s1", "s2").distinct()
+         .select(key, "term", "df", "w", "norm", "in_prefix"))
+    # a prefix posting carries the prefix up to it, rarest terms first
+    so_far = Window.partitionBy(key).orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    postings = v.where("in_prefix").select(F.col(key).alias("id"), "term", F.collect_list("term").over(so_far).alias("before"))
+    # a long posting list meets itself in pairs of blocks, so no task compares more than two blocks of it
+    own = postings.join(prefix_blocks(postings), "term", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = own.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    left = own.select("term", F.col("id").alias("id1"), F.col("before").alias("before1"), F.col("part").alias("x"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("y"))
+    right = own.select("term", F.col("id").alias("id2"), F.col("before").alias("before2"), F.explode(F.sequence(F.lit(0), "part")).alias("x"), F.col("part").alias("y"))
+    pairs = left.join(right, ["term", "x", "y"]).where((F.col("x") < F.col("y")) | (F.col("id1") < F.col("id2")))
+    # taken at the first prefix term that both have, so a pair comes once
+    cand = pairs.where(~F.arrays_overlap("before1", "before2")).select(F.least("id1", "id2").alias("s1"), F.greatest("id1", "id2").alias("s2"))
     full1 = v.select(F.col(key).alias("s1"), "term", F.col("w").alias("w1"), F.col("norm").alias("n1"))
     full2 = v.select(F.col(key).alias("s2"), "term", F.col("w").alias("w2"), F.col("norm").alias("n2"))
     dots = (cand.join(full1, "s1").join(full2, ["s2", "term"])
@@ -218,6 +229,12 @@ def sparse_all_pairs(weights: DataFrame, theta: float, key: str = "sig") -> Data
     return sims.unionByName(self_pairs)
 
 
+def prefix_blocks(prefix: DataFrame) -> DataFrame:
+    """(term, parts) of the terms that stand in more than PREFIX_BLOCK prefixes."""
+    return (prefix.groupBy("term").agg(F.ceil(F.count(F.lit(1)) / F.lit(PREFIX_BLOCK)).cast("int").alias("parts"))
+            .where("parts > 1"))
+
+
 def content_similarity(items: DataFrame, theta: float = 0.6, text_col: str = "genres",
                        hashed: int | None = None) -> FactoredSims:
     """M10 in factored form (members + signature pairs)."""

@@ -529,3 +529,10 @@ register("best_params_report", with_(RATINGS, GRID) + "SELECT damping, rmse FROM
 register("best_damping", with_(RATINGS, GRID) + "SELECT damping, rmse FROM grid ORDER BY rmse, damping LIMIT 1")
 register("positive_scores", with_(RATINGS, AVERAGES) + """
 SELECT mid, pred FROM (SELECT mid, round("avg" - (SELECT round(avg(score), 6) FROM ratings), 6) AS pred FROM averages) t WHERE pred > 0""")
+register("user_item_grid", """
+SELECT CAST(a.vec_id AS INTEGER) AS uid, CAST(b.vec_id AS INTEGER) AS mid,
+       round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS pred
+FROM embeddings a CROSS JOIN embeddings b""")
+register("predict_given", with_(RATINGS) + """
+SELECT r.uid, r.mid, round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS pred
+FROM ratings r JOIN embeddings a ON a.vec_id = r.uid JOIN embeddings b ON b.vec_id = r.mid""")

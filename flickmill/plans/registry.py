@@ -499,6 +499,21 @@ def positive_predictions(spark, d):
     return mdl.positive_predictions(predict_pairs(spark, d))
 
 
+@query
+def user_item_grid(spark, d):
+    """J2 on given factors: the latent vectors as users and as items."""
+    v = ad.latent_vectors(spark, d)
+    return mdl.user_item_grid(v.withColumnRenamed("mid", "uid"), v, block_size=256).select("uid", "mid", F.round("pred", 6).alias("pred"))
+
+
+@query
+def predict_given(spark, d):
+    """J4 on given factors: the rated pairs that both have a latent vector."""
+    v = ad.latent_vectors(spark, d)
+    return mdl.predict_given(ad.ratings(spark, d).select("uid", "mid"), v.withColumnRenamed("mid", "uid"), v) \
+        .select("uid", "mid", F.round("pred", 6).alias("pred"))
+
+
 @query
 def predict_all(spark, d):
     return mdl.predict_all(_fit(spark, d))

@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from flickmill.functions import scalar as fx
-from flickmill.operators import blend, lookup, model, rank
+from flickmill.operators import blend, lookup, model, rank, similarity
 
 
 def test_a_pair_rated_again_has_its_last_score_and_a_missing_one_the_average(spark):
@@ -47,3 +47,25 @@ def test_newest_by_date_and_the_clock(spark):
     movies = spark.createDataFrame([(1, "2020-02-03"), (2, "2020-10-01"), (3, "2019-12-31")], "mid int, issue string")
     assert [r.mid for r in rank.newest_movies(movies, 2, by_date=True).collect()] == [2, 1]
     assert abs(spark.range(1).select(fx.now_epoch_seconds().alias("t")).first().t - time.time()) < 120
+
+
+def test_similarity_of_a_hot_term_in_any_number_of_blocks(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"m{i}", "|".join(["hot", f"a{i % 40}", f"b{i % 7}", "rare" if i % 50 == 0 else f"c{i}"])) for i in range(400)], "mid int, name string, genres string")
+    rows = lambda: sorted((r.m1, r.m2, r.sim) for r in similarity.item_similarity_content(items, 0.2).collect())
+    whole = rows()
+    monkeypatch.setattr(similarity, "PREFIX_BLOCK", 3)
+    assert rows() == whole and len(whole) > 1_000 and len({r[:2] for r in whole}) == len(whole)
+
+
+def test_grid_of_blocks_equals_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    a, b = rng.normal(size=(37, 5)), rng.normal(size=(23, 5))
+    users = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], "uid int, features array<double>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(b)], "mid int, features array<double>")
+    for size in (4, 1_000):
+        got = {(r.uid, r.mid): r.pred for r in model.user_item_grid(users, items, size).collect()}
+        assert len(got) == 37 * 23 and np.allclose([[got[i, j] for j in range(23)] for i in range(37)], a @ b.T)
+    assert model.user_item_grid(users.limit(0), items).count() == 0
+    pairs = spark.createDataFrame([(1, 2), (36, 22), (99, 1)], "uid int, mid int")
+    assert {(r.uid, r.mid): round(r.pred, 9) for r in model.predict_given(pairs, users, items).collect()} == {(1, 2): round(float(a[1] @ b[2]), 9), (36, 22): round(float(a[36] @ b[22]), 9)}
