@@ -5,9 +5,11 @@ a node it follows the n-grams whose hash for that node is under
 ``SPREAD / (threshold * size)``, so two sets at the threshold share ``SPREAD``
 chosen n-grams on average, and large nodes are split again by further n-grams.
 Nodes with few sets are compared by brute force with exact set sizes, and so, in
-blocks, are those that a split leaves more than half together and those at the
-last level. Runs are repeated until a pair at the
-threshold is missed with a probability under ``1 - recall``.
+blocks, are those that a split leaves more than half together; all others are
+split until they have few. Only sets at a node that is split are sent further, so
+a level below the first costs nothing where no node is large. Runs are repeated
+until a pair at the threshold is missed with a probability under ``1 - recall``,
+however deep the tree gets.
 
 Equal sets are one class and join once. A pair is counted at the first node that
 its sets share, so nodes report numbers of links and a spanning forest, never
@@ -29,14 +31,14 @@ from flickmill.llm.batches import NOT_SPACE, Words, mix, pieces, window_hashes,
 from flickmill.llm.components import components
 from flickmill.llm.scratch import written
 
-#: n-grams that two sets at the threshold share at a node, on average; levels of a run; sets of a node that is not split, and of a block.
-SPREAD, LEVELS, FEW, BLOCK = 2.0, 3, 256, 1024
+#: n-grams that two sets at the threshold share at a node, on average; sets of a node that is not split, and of a block.
+SPREAD, FEW, BLOCK = 2.0, 256, 1024
 
 
-def runs_for(recall: float, levels: int = LEVELS) -> int:
-    """Runs by which a pair at the threshold meets at the last level with this probability."""
+def runs_for(recall: float) -> int:
+    """Runs by which a pair at the threshold meets, at any depth, with this probability."""
     p = 1.0
-    for _ in range(levels):
+    for _ in range(200):  # the probability of meeting at each depth falls to a limit
         p = 1 - math.exp(-SPREAD * p)
     return math.ceil(math.log(1 - recall) / math.log(1 - p))
 
@@ -58,48 +60,62 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.add.reduce(x).view(np.int64)) for x in (a, b))
 
 
-def paths(s: np.ndarray, threshold: float, runs: int) -> list[list[int]]:
-    """Of each level, the nodes that a set goes through, then the node above each: [nodes, parents, nodes, parents, ...]."""
-    out: list[list[int]] = []
+def roots(runs: int) -> np.ndarray:
+    """The node that each run begins at."""
+    return mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def below(s: np.ndarray, above: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes that a set goes to from these ones, and the node above each."""
     limit = np.uint64(min(1.0, SPREAD / (threshold * max(1, len(s)))) * (2**64 - 2048))
-    above = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    for _ in range(LEVELS):
-        drawn = mix(s[None, :] ^ above[:, None])
-        node, gram = np.nonzero(drawn <= limit)
-        below = mix(drawn[node, gram] + above[node])
-        out += [below.view(np.int64).tolist(), above[node].view(np.int64).tolist()]
-        above = below
-    return out
+    drawn = mix(s[None, :] ^ above[:, None])
+    at, gram = np.nonzero(drawn <= limit)
+    return mix(drawn[at, gram] + above[at]).view(np.int64), above[at].view(np.int64)
 
 
-WAYS = [f"{kind}{level}" for level in range(LEVELS) for kind in ("node", "above")]
 SETS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
-                     T.StructField("size", T.IntegerType())] + [T.StructField(c, T.ArrayType(T.LongType())) for c in WAYS])
+                     T.StructField("size", T.IntegerType()), T.StructField("nodes", T.ArrayType(T.LongType()))])
+WAYS = T.StructType([T.StructField(c, T.LongType()) for c in ("rep", "node", "above")])
 
 
 def read_sets(docs: DataFrame, n: int, threshold: float, runs: int) -> DataFrame:
+    """(doc, k1, k2, size, nodes): each text's set by its name, and the nodes of the first level that it goes to."""
     def run(batches):
+        top = roots(runs)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets = shingle_sets(piece.column(1), n)
                 keys = [set_key(s) for s in sets]
-                ways = [paths(s, threshold, runs) if len(s) else [[]] * len(WAYS) for s in sets]
-                cols = [piece.column(0), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int32())] + [pa.array([w[i] for w in ways], pa.list_(pa.int64())) for i in range(len(WAYS))]
-                yield pa.RecordBatch.from_arrays(cols, names=SETS.names)
+                ways = [below(s, top, threshold)[0] for s in sets]
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                                                  pa.array([len(s) for s in sets], pa.int32()), pa.array(ways, pa.list_(pa.int64()))], names=SETS.names)
 
     return docs.mapInArrow(run, SETS)
 
 
-def nodes(reps: DataFrame) -> DataFrame:
+def next_level(docs: DataFrame, inside: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(rep, node, above): where the classes at these nodes (rep, node) go from there."""
+    lists = inside.groupBy("rep").agg(F.collect_list("node").alias("above"))  # a class's own nodes of one level
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                reps, above = piece.column(0).to_pylist(), piece.column(2).to_pylist()
+                for rep, s, nodes_above in zip(reps, shingle_sets(piece.column(1), n), above):
+                    node, of = below(s, np.array(nodes_above, np.int64).view(np.uint64), threshold)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), rep, np.int64)), pa.array(node), pa.array(of)], names=WAYS.names)
+
+    texts = docs.join(lists, docs["doc_id"] == lists["rep"]).select("rep", "text", "above")
+    return texts.mapInArrow(run, WAYS).dropDuplicates(["rep", "node"])  # a document row can stand more than once
+
+
+def nodes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -> DataFrame:
     """(node, rep, blocks): the nodes at which a class is compared; of nodes with the same classes, one."""
     chosen: list[DataFrame] = []
-    parents: DataFrame | None = None  # those that are split, with what each class has there
-    for level in range(LEVELS):
-        at = reps.select("rep", F.explode(F.arrays_zip(f"node{level}", f"above{level}")).alias("p")).select(
-            "rep", F.col(f"p.node{level}").alias("node"), F.col(f"p.above{level}").alias("above"))
-        if parents is not None:
-            at = at.join(parents.select(F.col("node").alias("above")), "above", "left_semi")
+    at = reps.select("rep", F.explode("nodes").alias("node")).withColumn("above", F.lit(None).cast("long"))
+    parents: DataFrame | None = None  # those that are split, and who is at them
+    inside: DataFrame | None = None
+    while True:
         number = F.xxhash64("rep").cast("decimal(38,0)")
         sizes = written(at.groupBy("node", "above").agg(F.count("*").alias("n"), F.sum(number).alias("who"), F.sum(F.xxhash64(F.lit(1), "rep").cast("decimal(38,0)")).alias("who_else"))
                         .where("n > 1"), "jaccard_nodes")
@@ -107,25 +123,25 @@ def nodes(reps: DataFrame) -> DataFrame:
             largest = sizes.groupBy("above").agg(F.max("n").alias("most"))
             judged = parents.join(largest.withColumnRenamed("above", "node"), "node", "left")
             dense = judged.where(F.col("most") * 2 >= F.col("n"))
-            chosen.append(members(reps, dense, level - 1))
+            chosen.append(members(inside, dense))
             sizes = sizes.join(dense.select(F.col("node").alias("above")), "above", "left_anti")
-        last = level == LEVELS - 1
-        chosen.append(members(reps, sizes if last else sizes.where(F.col("n") <= FEW), level))
-        if last:
-            break
+        chosen.append(members(at, sizes.where(F.col("n") <= FEW)))
         parents = written(sizes.where(F.col("n") > FEW).select("node", "n", "who", "who_else"), "jaccard_splits")
         if parents.isEmpty():
             break
+        # every node is less than half of the one above it, so this ends
+        inside = written(at.join(parents.select("node"), "node", "left_semi").select("rep", "node"), "jaccard_inside")
+        at = written(next_level(docs, inside, n, threshold), "jaccard_ways")
     out = chosen[0]
     for more in chosen[1:]:
         out = out.unionByName(more)
     return out
 
 
-def members(reps: DataFrame, sizes: DataFrame, level: int) -> DataFrame:
+def members(at: DataFrame, sizes: DataFrame) -> DataFrame:
     one = sizes.groupBy("n", "who", "who_else").agg(F.min("node").alias("node")).select(
         "node", F.when(F.col("n") <= FEW, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks"))
-    return reps.select("rep", F.explode(f"node{level}").alias("node")).join(one, "node").select("node", "rep", "blocks")
+    return at.select("rep", "node").join(one, "node").select("node", "rep", "blocks")
 
 
 LINKS = T.StructType([T.StructField("rep", T.LongType()), T.StructField("links", T.LongType()), T.StructField("root", T.LongType())])
@@ -165,8 +181,9 @@ def overlaps(m: int, row: np.ndarray, col: np.ndarray) -> np.ndarray:
     out = np.zeros((m, m))
     order = np.argsort(col, kind="stable")
     row, col = row[order], col[order]
-    step = max(256, 4_000_000 // max(m, 1))
-    for first in range(0, int(col[-1]) + 1 if len(col) else 0, step):
+    width = int(col[-1]) + 1 if len(col) else 0
+    step = max(1, min(width, max(256, 4_000_000 // max(m, 1))))
+    for first in range(0, width, step):
         a, b = np.searchsorted(col, [first, first + step])
         part = np.zeros((m, step), np.float32)
         part[row[a:b], col[a:b] - first] = 1
@@ -177,7 +194,7 @@ def overlaps(m: int, row: np.ndarray, col: np.ndarray) -> np.ndarray:
 def linked_classes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -> DataFrame:
     """(rep, links, root) of each node that a class is compared at."""
     ratio = Fraction(str(threshold))
-    meet = written(nodes(reps), "jaccard_meetings")
+    meet = written(nodes(docs, reps, n, threshold), "jaccard_meetings")
     lists = meet.groupBy("rep").agg(F.collect_list(F.struct("node", "blocks")).alias("at"))
     lists = lists.join(reps.select("rep", "copies"), "rep")
     texts = docs.join(lists, docs["doc_id"] == lists["rep"]).select("rep", "text", "copies", "at")
@@ -220,7 +237,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     read = written(read_sets(known, n, threshold, runs_for(recall)), "jaccard_sets")
     some = read.where("size > 0")
     reps = written(some.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"),
-                                                *[F.first(c).alias(c) for c in WAYS]), "jaccard_classes")
+                                                F.first("nodes").alias("nodes")), "jaccard_classes")
     met = written(linked_classes(known, reps, n, threshold), "jaccard_links")
     parts = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))

@@ -61,6 +61,20 @@ def test_large_groups_of_copies_and_near_copies(spark, monkeypatch):
     assert got(jaccard.near_duplicates(df)) == brute(docs)
 
 
+def test_a_passage_that_many_share_is_split_until_few_are_left(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FEW", 4)
+    rnd = random.Random(6)
+    words = lambda n: [f"w{rnd.randrange(9000)}" for _ in range(n)]
+    passage, docs = words(30), []
+    for k in range(60):
+        own = passage + words(60)
+        near = list(own)
+        near[-1] = near[70] = "x"
+        docs += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(near))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(jaccard.near_duplicates(df)) == brute(docs)
+
+
 def test_edge_cases(spark):
     docs = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "a"), (6, "b c"), (7, "x " * 40_000), (8, "x " * 30_000)]
     df = spark.createDataFrame(docs + [(None, "a")], "doc_id long, text string")
