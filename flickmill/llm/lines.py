@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from flickmill.llm.scratch import written
 
-#: Shorter lines stay, whatever repeats; lines from NEAR_WORDS on are also compared within the bound.
-MIN_WORDS, NEAR_WORDS = 5, 10
+#: Blank lines stay; lines from NEAR_WORDS on, of which a half has two words, are also compared within the bound.
+MIN_WORDS, NEAR_WORDS = 1, 4
 
 _SPACE = "[\\x09-\\x0D\\x20]+"
 
@@ -99,10 +99,10 @@ def judged(docs: DataFrame) -> DataFrame:
     """The document rows with all their columns and, after them, ``line_facts``: a struct of n_lines, n_removed and
     text, the lines that stay (null for null text).
 
-    Lines end at \\n, words are runs of other than ASCII white space. A line of MIN_WORDS words or more goes if an
-    earlier line (by doc_id, then place in the text) has the same words, or, for two lines of NEAR_WORDS or more
+    Lines end at \\n, words are runs of other than ASCII white space. A line that is not blank goes if an earlier
+    line (by doc_id, then place in the text) has the same words, or, for two lines of NEAR_WORDS or more
     each, the same but for one word replaced, added or left out. Lines are judged on the input, so a line also goes
-    where the earlier one goes itself. Shorter and blank lines stay. Rows with a null doc_id are compared with none
+    where the earlier one goes itself. Blank lines stay. Rows with a null doc_id are compared with none
     and keep all lines; repeated rows of one doc_id and text are judged alike; of differing texts under one doc_id,
     that with the lesser hash counts as earlier. An input column named line_facts is replaced.
     """
@@ -144,13 +144,13 @@ SQL = r"""
 WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, i AS line, ls[i] AS content, list_filter(regexp_split_to_array(ls[i], '[\x09-\x0D\x20]+'), lambda w: w <> '') AS words
           FROM raw, unnest(range(1, len(ls) + 1)) AS u(i)),
-firsts AS (SELECT words, len(words) AS n, min(doc_id * 1000000 + line) AS pos FROM lines WHERE len(words) >= 5 GROUP BY words),
-keyed AS (SELECT pos, n - 1 AS l, p, list_concat(words[1:p - 1], words[p + 1:]) AS v FROM firsts, unnest(range(1, n + 1)) AS u(p) WHERE n >= 10
-          UNION ALL SELECT pos, n, p, words FROM firsts, unnest(range(1, n + 2)) AS u(p) WHERE n >= 10),
+firsts AS (SELECT words, len(words) AS n, min(doc_id * 1000000 + line) AS pos FROM lines WHERE len(words) >= 1 GROUP BY words),
+keyed AS (SELECT pos, n - 1 AS l, p, list_concat(words[1:p - 1], words[p + 1:]) AS v FROM firsts, unnest(range(1, n + 1)) AS u(p) WHERE n >= 4
+          UNION ALL SELECT pos, n, p, words FROM firsts, unnest(range(1, n + 2)) AS u(p) WHERE n >= 4),
 lows AS (SELECT l, p, hash(v) AS h, min(pos) AS low FROM keyed GROUP BY l, p, hash(v)),
 near AS (SELECT DISTINCT pos FROM keyed JOIN lows ON keyed.l = lows.l AND keyed.p = lows.p AND hash(keyed.v) = lows.h WHERE low < pos),
 stay AS (SELECT pos FROM firsts WHERE pos NOT IN (SELECT pos FROM near)),
-judged AS (SELECT lines.*, len(words) < 5 OR stay.pos IS NOT NULL AS stays FROM lines LEFT JOIN stay ON doc_id * 1000000 + line = stay.pos),
+judged AS (SELECT lines.*, len(words) < 1 OR stay.pos IS NOT NULL AS stays FROM lines LEFT JOIN stay ON doc_id * 1000000 + line = stay.pos),
 made AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
                 coalesce(string_agg(content, chr(10) ORDER BY line) FILTER (stays), '') AS text FROM judged GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, made.text AS text FROM documents d LEFT JOIN made ON d.doc_id = made.doc_id
