@@ -125,3 +125,35 @@ def test_thresholds():
     s, y = np.array([0.1, 0.2, 0.3, 0.8, 0.9]), np.array([0, 0, 0, 1, 1])
     assert toxicity.threshold(s, y) == pytest.approx(0.55)
     assert toxicity.threshold(np.array([0.1, 0.4, 0.35, 0.9]), np.array([0, 0, 1, 1])) in (pytest.approx(0.225), pytest.approx(0.65))
+
+
+def test_rows_beyond_the_first_ones_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", (60, 30))
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 300)
+    from pyspark.sql import functions as F
+    ids = [r.id for r in spark.range(900).orderBy(F.xxhash64("id")).collect()]
+    rng = np.random.default_rng(2)
+    bad = [i for i in ids if i % 3 == 0]
+    insult = {i: "idiot" if k < 120 else "moron" for k, i in enumerate(bad)}  # no row of the first ones has the second word
+    words = ["word", "text", "other", "things", "and", "abc", "mortar", "idiom"]
+    docs = [(i, " ".join([*rng.choice(words, 12), *([insult[i]] if i in insult else [])]), "en") for i in ids]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i in insult)) for i in ids], "doc_id long, toxic int")
+    model, cuts = toxicity.fit(df, labels)
+    odd = spark.createDataFrame([(0, "other moron things", "en"), (1, "an idiot and text", "en"), (2, "other mortar and things idiom", "en"), (3, "word " * 30, "en")], df.schema)
+    assert [r.score >= 0.5 for r in toxicity.scored(odd, model, cuts).orderBy("doc_id").collect()] == [True, True, False, False]
+    again, _ = toxicity.fit(df.repartition(5), labels.repartition(3))
+    assert np.array_equal(again.table, model.table) and again.slope == model.slope
+
+
+def test_training_on_a_long_text_by_slices(monkeypatch):
+    state = toxicity.begun(np.random.default_rng(3))
+    text = "word idiot text, and other things. " * 40 + "villainous abc"
+    rows = toxicity.text_rows(text)
+    want = toxicity.strongest(state.table, state.dense[:3], rows)
+    for size in (50, 333):
+        monkeypatch.setattr(toxicity, "SLICE_BYTES", size)
+        got = toxicity.strongest(state.table, state.dense[:3], toxicity.text_rows(text))
+        assert toxicity.text_rows(text).dtype == np.uint8
+        for (a, _, b), (c, _, d) in zip(got, want):
+            assert np.allclose(a, c, atol=1e-6) and (b == d).all()
