@@ -114,3 +114,21 @@ def test_lists_put_together_are_dealt_anew(spark):
     users = spark.createDataFrame([(u, ["SMALL"]) for u in range(12)], "uid int, prefGenres array<string>")
     got = blend.guess_recs(users, [one, one, one], top, 4)
     assert len(got.inputFiles()) and got.count() == 9 * 4 + 3
+
+
+def test_many_queries_are_merged_and_packed_blocks_stand_in_small_files(spark, monkeypatch):
+    import os
+    from flickmill.operators import search
+    monkeypatch.setattr(search, "BLOCK_DOCS", 4)
+    docs = spark.createDataFrame([(m, f"n{m % 7}", " ".join(f"w{(m * k) % 11}" for k in range(1, 6))) for m in range(60)], "mid int, name string, descri string")
+    index = search.build_index(docs, by_term=False)
+    files = [f for f in os.listdir(os.path.join(index.path, "packed")) if f.endswith(".parquet")]
+    counts = [spark.read.parquet(os.path.join(index.path, "packed", f)).count() for f in files]
+    assert max(counts) <= search.FILE_BLOCKS and sum(counts) > search.FILE_BLOCKS
+    seeds = docs.select(F.col("mid").alias("qid"), "mid")
+    terms = search.seed_terms(index, seeds, 5)
+    few = sorted(map(tuple, search.hits_to_recs(search.top_hits(index, terms, 3, skip=seeds), 3).collect()))
+    monkeypatch.setattr(search, "BROADCAST_TERMS", 10)
+    hits = search.top_hits(index, terms, 3, skip=seeds)
+    assert "strategy=merge" in hits._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, search.hits_to_recs(hits, 3).collect())) == few and len(few) == 180
