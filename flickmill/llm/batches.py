@@ -91,7 +91,7 @@ class Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * PIECE_BYTES)
+            size = max(n + n // 4, 1 << 16)  # no more than pieces of this size ask for: every worker holds them
             self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]))
                                   for b in (self.base, self.inverse))
         return self.up, self.down

@@ -23,16 +23,19 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flickmill.llm.batches import NOT_SPACE, Words, mix, pieces, window_hashes, with_columns
+from flickmill.llm.batches import NOT_SPACE, Words, mix, pieces, window_hashes
 from flickmill.llm.components import components
 from flickmill.llm.scratch import written
+from flickmill.llm.sieve import sieved
 
 #: n-grams that two sets at the threshold share at a node, on average; sets of a node that is not split, and of a block.
 SPREAD, FEW, BLOCK = 2.0, 256, 1024
+#: Bytes of text whose sets are made at once.
+PIECE = 500_000
 
 
 def runs_for(recall: float) -> int:
@@ -75,7 +78,7 @@ def below(s: np.ndarray, above: np.ndarray, threshold: float) -> tuple[np.ndarra
 
 SETS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
                      T.StructField("size", T.IntegerType()), T.StructField("nodes", T.ArrayType(T.LongType()))])
-WAYS = T.StructType([T.StructField(c, T.LongType()) for c in ("rep", "node", "above")])
+WAYS = T.StructType([T.StructField("rep", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("above", T.LongType())])
 
 
 def read_sets(docs: DataFrame, n: int, threshold: float, runs: int) -> DataFrame:
@@ -83,7 +86,7 @@ def read_sets(docs: DataFrame, n: int, threshold: float, runs: int) -> DataFrame
     def run(batches):
         top = roots(runs)
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 sets = shingle_sets(piece.column(1), n)
                 keys = [set_key(s) for s in sets]
                 ways = [below(s, top, threshold)[0] for s in sets]
@@ -94,25 +97,26 @@ def read_sets(docs: DataFrame, n: int, threshold: float, runs: int) -> DataFrame
 
 
 def next_level(docs: DataFrame, inside: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(rep, node, above): where the classes at these nodes (rep, node) go from there."""
+    """(rep, size, node, above): where the classes at these nodes (rep, node) go from there."""
     lists = inside.groupBy("rep").agg(F.collect_list("node").alias("above"))  # a class's own nodes of one level
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 reps, above = piece.column(0).to_pylist(), piece.column(2).to_pylist()
                 for rep, s, nodes_above in zip(reps, shingle_sets(piece.column(1), n), above):
                     node, of = below(s, np.array(nodes_above, np.int64).view(np.uint64), threshold)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), rep, np.int64)), pa.array(node), pa.array(of)], names=WAYS.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), rep, np.int64)), pa.array(np.full(len(node), len(s), np.int32)), pa.array(node), pa.array(of)], names=WAYS.names)
 
-    texts = docs.join(lists, docs["doc_id"] == lists["rep"]).select("rep", "text", "above")
+    own = sieved(docs, "doc_id", inside.select("rep"))
+    texts = own.join(lists, own["doc_id"] == lists["rep"]).select("rep", "text", "above")
     return texts.mapInArrow(run, WAYS).dropDuplicates(["rep", "node"])  # a document row can stand more than once
 
 
 def nodes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -> DataFrame:
     """(node, rep, blocks): the nodes at which a class is compared; of nodes with the same classes, one."""
     chosen: list[DataFrame] = []
-    at = reps.select("rep", F.explode("nodes").alias("node")).withColumn("above", F.lit(None).cast("long"))
+    at = reps.select("rep", "size", F.explode("nodes").alias("node")).withColumn("above", F.lit(None).cast("long"))
     parents: DataFrame | None = None  # those that are split, and who is at them
     inside: DataFrame | None = None
     while True:
@@ -123,14 +127,14 @@ def nodes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -> DataFra
             largest = sizes.groupBy("above").agg(F.max("n").alias("most"))
             judged = parents.join(largest.withColumnRenamed("above", "node"), "node", "left")
             dense = judged.where(F.col("most") * 2 >= F.col("n"))
-            chosen.append(members(inside, dense))
+            chosen.append(members(inside, dense, threshold))
             sizes = sizes.join(dense.select(F.col("node").alias("above")), "above", "left_anti")
-        chosen.append(members(at, sizes.where(F.col("n") <= FEW)))
+        chosen.append(members(at, sizes.where(F.col("n") <= FEW), threshold))
         parents = written(sizes.where(F.col("n") > FEW).select("node", "n", "who", "who_else"), "jaccard_splits")
         if parents.isEmpty():
             break
         # every node is less than half of the one above it, so this ends
-        inside = written(at.join(parents.select("node"), "node", "left_semi").select("rep", "node"), "jaccard_inside")
+        inside = written(at.join(parents.select("node"), "node", "left_semi").select("rep", "size", "node"), "jaccard_inside")
         at = written(next_level(docs, inside, n, threshold), "jaccard_ways")
     out = chosen[0]
     for more in chosen[1:]:
@@ -138,10 +142,21 @@ def nodes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -> DataFra
     return out
 
 
-def members(at: DataFrame, sizes: DataFrame) -> DataFrame:
+def members(at: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """(node, rep, blocks) of these nodes, of nodes with the same classes, one. Where there are few, a class that no other
+    there is near enough to in size to be linked with is left out."""
     one = sizes.groupBy("n", "who", "who_else").agg(F.min("node").alias("node")).select(
         "node", F.when(F.col("n") <= FEW, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks"))
-    return at.select("rep", "node").join(one, "node").select("node", "rep", "blocks")
+    here = at.select("rep", "size", "node").join(one, "node")
+    ratio, by_size = Fraction(str(threshold)), Window.partitionBy("node").orderBy("size", "rep")
+
+    def near(less: F.Column, more: F.Column) -> F.Column:
+        return F.coalesce(less * ratio.denominator >= more * ratio.numerator, F.lit(False))
+
+    size = F.col("size").cast("long")
+    few = here.where("blocks = 1").withColumn("less", F.lag(size).over(by_size)).withColumn("more", F.lead(size).over(by_size))
+    few = few.where(near(F.col("less"), size) | near(size, F.col("more")))
+    return few.select("node", "rep", "blocks").unionByName(here.where("blocks > 1").select("node", "rep", "blocks"))
 
 
 LINKS = T.StructType([T.StructField("rep", T.LongType()), T.StructField("links", T.LongType()), T.StructField("root", T.LongType())])
@@ -197,13 +212,10 @@ def linked_classes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -
     meet = written(nodes(docs, reps, n, threshold), "jaccard_meetings")
     lists = meet.groupBy("rep").agg(F.collect_list(F.struct("node", "blocks")).alias("at"))
     lists = lists.join(reps.select("rep", "copies"), "rep")
-    texts = docs.join(lists, docs["doc_id"] == lists["rep"]).select("rep", "text", "copies", "at")
-
-    def sets(piece: pa.RecordBatch) -> dict[str, pa.Array]:
-        return {"grams": pa.array([s.tobytes() for s in shingle_sets(piece.column("text"), n)], pa.binary())}
-
-    known = with_columns(texts, sets, {"grams": T.BinaryType()}, ["rep", "copies", "at"], "text")
-    here = known.withColumn("own", F.explode("at")).select("rep", "copies", "grams", F.transform("at", lambda x: x["node"]).alias("others"),
+    own = sieved(docs, "doc_id", meet.select("rep"))
+    texts = own.join(lists, own["doc_id"] == lists["rep"]).select("rep", "text", "copies", "at")
+    # texts are what is sent to the nodes: they are smaller than their sets of hashes
+    here = texts.withColumn("own", F.explode("at")).select("rep", "copies", "text", F.transform("at", lambda x: x["node"]).alias("others"),
                                                           F.col("own.node").alias("node"), F.col("own.blocks").alias("blocks"))
     block = F.pmod(F.xxhash64("rep", "node"), F.col("blocks")).cast("int")
     # every two blocks meet once: a row goes to (its block, each later one) and (each earlier one, its block)
@@ -215,12 +227,12 @@ def linked_classes(docs: DataFrame, reps: DataFrame, n: int, threshold: float) -
         rep, first = np.unique(rows.column("rep").to_numpy(), return_index=True)
         rows = rows.take(first)
         side = rows.column("block").to_numpy() if key[1].as_py() != key[2].as_py() else None
-        grams = [np.frombuffer(g, np.uint64) for g in rows.column("grams").to_pylist()]
+        grams = [s for batch in rows.to_batches() for piece in pieces(batch, "text", PIECE) for s in shingle_sets(piece.column("text"), n)]
         others = [np.array(o, np.int64) for o in rows.column("others").to_pylist()]
         links, root = compare(rep, rows.column("copies").to_numpy(), grams, others, key[0].as_py(), side, ratio)
         return pa.table({"rep": rep, "links": links, "root": root})
 
-    return here.select("rep", "copies", "grams", "others", "node", "block", "one", "two").groupBy("node", "one", "two").applyInArrow(brute, LINKS)
+    return here.select("rep", "copies", "text", "others", "node", "block", "one", "two").groupBy("node", "one", "two").applyInArrow(brute, LINKS)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999) -> DataFrame:
@@ -237,7 +249,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     read = written(read_sets(known, n, threshold, runs_for(recall)), "jaccard_sets")
     some = read.where("size > 0")
     reps = written(some.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"),
-                                                F.first("nodes").alias("nodes")), "jaccard_classes")
+                                                F.first("nodes").alias("nodes"), F.first("size").alias("size")), "jaccard_classes")
     met = written(linked_classes(known, reps, n, threshold), "jaccard_links")
     parts = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))
