@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from flickmill.llm.batches import LETTERS, Powers, mix, pieces, text_bytes
 from flickmill.llm.scratch import written
+from flickmill.llm.sieve import sieved
 
 #: Labelled rows that training begins with at most (label 0, label 1) and the bytes of all their texts, for each label.
 SAMPLE, SAMPLE_BYTES = (2_400, 1_200), 8_000_000
@@ -334,7 +335,10 @@ def threshold(score: np.ndarray, label: np.ndarray, n: np.ndarray | None = None)
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, toxic, text, lang) of all labelled rows outside the held-out fold, written. Null texts count as empty."""
     some = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").join(some, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by(F.struct("text", "lang"), F.struct("text", "lang")).alias("r"))
+    own = docs.select("doc_id", "text", "lang")
+    if own.schema["doc_id"].dataType == some.schema["doc_id"].dataType:
+        own = sieved(own, "doc_id", some.select("doc_id"))
+    rows = own.withColumn("text", F.coalesce("text", F.lit(""))).join(some, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by(F.struct("text", "lang"), F.struct("text", "lang")).alias("r"))
     return written(rows.select("doc_id", "toxic", "r.text", "r.lang"), "toxicity_rows")
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flickmill.llm import jaccard
+from flickmill.llm import jaccard, toxicity
 from flickmill.llm.sieve import sieved
 
 
@@ -40,3 +40,13 @@ def test_classes_far_from_all_others_in_size_are_not_sent_to_a_node(spark):
     sizes = spark.createDataFrame([(7, 5, 1, 1), (8, 2, 2, 2)], "node long, n long, who long, who_else long")
     got = {tuple(r) for r in jaccard.members(at, sizes, 0.8).collect()}
     assert got == {(7, 1, 1), (7, 2, 1), (7, 3, 1)}  # 80 of 100 is near enough, 79 of 80 too
+
+def test_only_labelled_texts_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "written", lambda df, name: df)
+    seen = []
+    real = toxicity.sieved
+    monkeypatch.setattr(toxicity, "sieved", lambda *a: seen.append(real(*a)) or seen[-1])
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("en").alias("lang"))
+    labels = spark.range(0, 3_000, 50).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    assert toxicity.labelled(docs, labels).count() == labels.where(~toxicity.held_out(F.col("doc_id"))).count()
+    assert seen[0].count() < 600
