@@ -58,3 +58,40 @@ def test_fit_refuses_what_spark_als_refuses(spark, row):
     for fit in (ALS(userCol="uid", itemCol="mid", ratingCol="score", rank=2, maxIter=1, seed=5).fit, lambda r: mdl.als_fit(r, rank=2, iters=1)):
         with pytest.raises(Exception, match="(?i)null|nan"):
             fit(ratings)
+
+
+def test_best_items_are_those_of_all_products_and_shuffle_nothing(spark):
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(70, 5)).astype("f4"), rng.normal(size=(50, 5)).astype("f4")
+    y[30:40] = y[20]  # copies: ties go to the smaller id
+    users = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, features array<float>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "id int, features array<float>")
+    for n in (4, 50, 60):
+        got = fa.best_items(users, items, 5, n)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        s = (x.astype(float) @ y.astype(float).T).astype("f4")
+        want = [(u, k + 1, int(m)) for u in range(70) for k, m in enumerate(np.lexsort((np.arange(50), -s[u]))[:n])]
+        assert sorted((r.uid, r.rank, r.mid) for r in got.collect()) == sorted(want)
+
+
+def test_predicted_pairs_keep_columns_and_drop_unknown_ids(spark):
+    model = mdl.als_fit(_ratings(spark), rank=4, iters=1)
+    pairs = spark.createDataFrame([(0, 1003, "a", 1.0), (0, 1003, None, 2.0), (0, 7, "b", 1.0), (999, 1003, "c", 1.0), (1, 1004, "d", None)], "uid long, mid int, note string, score double")
+    got = mdl.predict_pairs(model, pairs)
+    want = model.transform(pairs).withColumnRenamed("prediction", "pred")
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    a, b = (sorted(df.collect(), key=str) for df in (want, got))
+    assert len(a) == 3 and [r[:-1] for r in a] == [r[:-1] for r in b]
+    np.testing.assert_allclose([r.pred for r in b], [r.pred for r in a], rtol=1e-5)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grid_has_the_errors_of_the_fits_on_its_split(spark):
+    ratings = _ratings(spark).coalesce(1).persist()
+    got = {(r.rank, r.reg): r.rmse for r in mdl.als_tune(ratings, ranks=(2, 3), regs=(0.1, 1.0), iters=1, seed=7).collect()}
+    drawn = ratings.select("*", F.rand(7).alias("drawn"))
+    train, rest = drawn.where("drawn < 0.8"), drawn.where("drawn >= 0.8")
+    als = ALS(userCol="uid", itemCol="mid", ratingCol="score", rank=3, maxIter=1, regParam=0.1, seed=7, coldStartStrategy="drop")
+    want = mdl.rmse(als.fit(train).transform(rest), predicted="prediction").first().rmse
+    assert len(got) == 4 and got[3, 0.1] == pytest.approx(want, rel=1e-5)
+    ratings.unpersist()
