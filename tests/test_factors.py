@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flickmill.operators import factors as fa
 from flickmill.operators import model as mdl
+from flickmill.operators import similarity
 from flickmill.session import scratch_dir
 
 SCHEMA = "uid int, mid int, score double"
@@ -95,3 +96,17 @@ def test_grid_has_the_errors_of_the_fits_on_its_split(spark):
     want = mdl.rmse(als.fit(train).transform(rest), predicted="prediction").first().rmse
     assert len(got) == 4 and got[3, 0.1] == pytest.approx(want, rel=1e-5)
     ratings.unpersist()
+
+
+def test_latent_similarity_shuffles_no_vector_to_its_pairs(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(90, 4))
+    x[5], x[40] = 0.0, x[41]
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)] + [(900, None)], "mid int, features array<double>")
+    for size, blocks in ((1024, 1), (20, 5)):
+        got = similarity.item_similarity_latent(v, 0.5, block_size=size)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.rdd.getNumPartitions() >= blocks * (blocks + 1) // 2
+        with np.errstate(invalid="ignore"):
+            s = np.round(x @ x.T / np.outer(np.sqrt((x * x).sum(1)), np.sqrt((x * x).sum(1))), 6)
+        assert {(r.m1, r.m2): r.sim for r in got.collect()} == pytest.approx({(a, b): s[a, b] for a in range(90) for b in range(90) if a != b and s[a, b] > 0.5}, abs=2e-6)
