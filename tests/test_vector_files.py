@@ -68,3 +68,11 @@ def test_vectors_are_stored_once_in_as_few_bytes_as_they_need(spark):
         at = scratch_dir(spark, f"vector-files-{name}").removeprefix("file://")
         size.append(sum(os.path.getsize(os.path.join(at, f)) for f in os.listdir(at)))
     assert size[0] < 0.75 * size[1]
+
+
+def test_a_grid_shuffles_no_vector(spark):
+    users = spark.createDataFrame([(u, [float(u), 0.1]) for u in range(9)] + [(99, None)], "uid int, features array<double>")
+    items = spark.createDataFrame([(f"m{m}", [1.0, float(m)]) for m in range(6)], "mid string, features array<double>")
+    got = model.user_item_grid(users, items, 2)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.uid, r.mid): r.pred for r in got.collect()} == pytest.approx({(u, f"m{m}"): u + 0.1 * m for u in range(9) for m in range(6)})
