@@ -76,3 +76,18 @@ def test_a_grid_shuffles_no_vector(spark):
     got = model.user_item_grid(users, items, 2)
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     assert {(r.uid, r.mid): r.pred for r in got.collect()} == pytest.approx({(u, f"m{m}"): u + 0.1 * m for u in range(9) for m in range(6)})
+
+
+@pytest.mark.parametrize("size", [3, 8, 1024])
+def test_each_pair_of_vectors_meets_once(spark, size):
+    """In odd and even numbers of blocks; ids that come twice, vectors in one direction, vectors that need eight bytes."""
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(25, 3))
+    x[4], x[7] = 2 * x[3], -x[3]
+    ids = [i % 23 for i in range(25)]
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in zip(ids, x)], "mid int, features array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 9)
+    for cut in (-0.5, 0.9):
+        got = sorted((r.m1, r.m2, round(r.sim, 6)) for r in similarity.item_similarity_latent(v, cut, block_size=size).collect())
+        assert got == sorted((ids[i], ids[j], round(s[i, j], 6)) for i in range(25) for j in range(25) if ids[i] != ids[j] and s[i, j] > cut)
