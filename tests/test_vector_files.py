@@ -1,6 +1,7 @@
 """Vectors scanned in files: what a task keeps of them, and products that shuffle none."""
 
 import os
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +62,12 @@ def test_vectors_are_stored_once_in_as_few_bytes_as_they_need(spark):
     size = []
     for name, x in (("short", short), ("long", long)):
         df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(500, None)], "id long, features array<double>")
-        files = fa.VectorFiles(df, scratch_dir(spark, f"vector-files-{name}"), lambda n: 5)
+        path = scratch_dir(spark, f"vector-files-{name}-{uuid.uuid4().hex}")
+        files = fa.VectorFiles(df, path, lambda n: 5)
         got = [r for names, n in files.blocks for r in files.of(names).collect() if r.wide == (name == "long")]
         assert len(files.blocks) == 5 and sorted(r.id for r in got) == list(range(200)) and sum(n for _, n in files.blocks) == 200
         assert all(np.array_equal(np.frombuffer(r.v, "f8" if r.wide else "f4"), x[r.id]) for r in got)
-        at = scratch_dir(spark, f"vector-files-{name}").removeprefix("file://")
+        at = path.removeprefix("file://")
         size.append(sum(os.path.getsize(os.path.join(at, f)) for f in os.listdir(at)))
     assert size[0] < 0.75 * size[1]
 
